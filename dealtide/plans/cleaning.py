@@ -91,9 +91,10 @@ def pipeline_stages(raw: DataFrame, options: Options = DEFAULTS) -> DataFrame:
 
 
 def with_unknown_stage(stages: DataFrame) -> DataFrame:
-    row = stages.sparkSession.createDataFrame(
-        [tuple(UNKNOWN_STAGE_ROW[c] for c in TABLES["pipeline_stages"].columns)],
-        TABLES["pipeline_stages"].schema,
+    """Add the service stage. (A range row, not local data: Spark knows that it is tiny.)"""
+    spec = TABLES["pipeline_stages"]
+    row = stages.sparkSession.range(1).select(
+        *[F.lit(UNKNOWN_STAGE_ROW[c]).cast(spec.type_of(c)).alias(c) for c in spec.columns]
     )
     return stages.unionByName(row)
 

@@ -44,17 +44,48 @@ def steps(raw: Tables, options: cleaning.Options) -> dict[str, Callable[[Tables]
     }
 
 
-def clean(
-    raw: Tables, options: cleaning.Options = cleaning.DEFAULTS, extra: bool = True
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Cleaned tables and journal entries of each table, as plans that nothing has run yet."""
-    main = {"sources": cleaning.sources(raw["deals"], raw["marketing_costs"])}
-    found = {}
-    for table, step in steps(raw, options).items():
-        rows = step(main)
-        main[table] = _finished(table, accepted(rows))
-        found[table] = entries(rows, table, extra)
-    return main, found
+class Cleaned(dict):
+    """Cleaned tables by name, as plans. A table is planned when it is first asked for.
+
+    For single tables and ad-hoc questions; :func:`refresh` builds and stores all of them.
+    """
+
+    def __init__(self, raw: Tables, options: cleaning.Options = cleaning.DEFAULTS):
+        super().__init__()
+        self.raw = raw
+        self.options = options
+        self._annotated: dict[str, DataFrame] = {}
+
+    def annotated(self, table: str) -> DataFrame:
+        if table not in self._annotated:
+            self._annotated[table] = steps(self.raw, self.options)[table](_Parents(self))
+        return self._annotated[table]
+
+    def __missing__(self, table: str) -> DataFrame:
+        if table == "sources":
+            self[table] = cleaning.sources(self.raw["deals"], self.raw["marketing_costs"])
+        else:
+            self[table] = _finished(table, accepted(self.annotated(table)))
+        return self[table]
+
+    def entries(self, *tables: str, extra: bool = True) -> DataFrame:
+        """Journal entries of the given tables."""
+        found = [entries(self.annotated(t), t, extra) for t in tables]
+        return reduce(DataFrame.unionByName, found)
+
+
+class _Parents:
+    """What the steps see of the tables before them."""
+
+    def __init__(self, cleaned: Cleaned):
+        self._cleaned = cleaned
+
+    def __getitem__(self, table: str) -> DataFrame:
+        # One version of every deal stays, so their ids are known without ranking the versions;
+        # not so if rows with malformed values are dropped.
+        if table == "deals" and self._cleaned.options.on_cast_error == "fail":
+            return self._cleaned.raw["deals"].select("deal_id")
+        return self._cleaned[table]
 
 
 def _finished(table: str, rows: DataFrame) -> DataFrame:
@@ -96,6 +127,8 @@ def refresh(
             found.append(entries(checked, table))
             rows = accepted(checked)
         main[table] = out.write("main", table, rows)
+        if constraints == "fail":
+            expectations.enforce(main, [table])
 
     settle("sources", cleaning.sources(raw["deals"], raw["marketing_costs"]))
     for table, step in steps(raw, options).items():
@@ -105,7 +138,6 @@ def refresh(
 
     log = journal(reduce(DataFrame.unionByName, found), run_id, logged_at)
     main["rejects"] = out.write("main", "rejects", log)
-    if constraints == "fail":
-        expectations.enforce(main)
+    expectations.enforce(main, ["rejects"])
     out.finish()
     return out.folder
