@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,12 +14,6 @@ TRUE_WORDS = ("t", "tr", "tru", "true", "y", "ye", "yes", "on", "1")
 FALSE_WORDS = ("f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0")
 
 
-class Converted(NamedTuple):
-    value: Column
-    #: true where there was text that could not be converted
-    failed: Column
-
-
 def _lenient(text: Column, to: T.DataType) -> Column:
     if isinstance(to, T.BooleanType):
         word = F.lower(F.btrim(text))
@@ -33,14 +25,12 @@ def _lenient(text: Column, to: T.DataType) -> Column:
     return text.try_cast(to)
 
 
-def convert(text: Column, to: T.DataType, on_error: str = "fail") -> Converted:
-    """Convert text. ``fail`` raises on a malformed value, ``quarantine`` only marks it."""
+def convert(text: Column, to: T.DataType, on_error: str = "fail") -> Column:
+    """Convert text. On a malformed value ``fail`` raises, ``quarantine`` gives NULL."""
     value = _lenient(text, to)
-    failed = text.isNotNull() & value.isNull()
     if on_error == "quarantine":
-        return Converted(value, failed)
+        return value
     if on_error != "fail":
         raise ValueError(f"on_error must be 'fail' or 'quarantine', not {on_error!r}")
     message = F.concat(F.lit(f"not a valid {to.simpleString()}: "), text)
-    strict = F.when(failed, F.raise_error(message).cast(to)).otherwise(value)
-    return Converted(strict, F.lit(False))
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message).cast(to)))

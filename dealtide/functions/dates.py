@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,15 +15,18 @@ _SLASHED = r"^(\d{4})/(\d{1,2})/(\d{1,2})(?=\D|$)"
 _ZONED = r":\d{2}(\.\d+)?\s*([Zz]|[+-]\d|[A-Za-z]+/)"
 
 
-def _iso_text(text: Column) -> Column:
-    """Trimmed text with a day-first dotted or a slashed date rewritten to ISO; else NULL.
+def _by_spelling(text: Column, read: Callable[[Column], Column]) -> Column:
+    """Apply ``read`` to the text with a dotted or slashed date rewritten to ISO; else NULL.
 
-    Only text that starts with a full date goes on. Spark's cast alone would also take ``2026``
-    or ``now``.
+    Only text that starts with a full date is read. Spark's cast alone would also take ``2026``
+    or ``now``. ISO text, the usual case, comes first and is not rewritten.
     """
     trimmed = F.btrim(text)
-    iso = F.regexp_replace(F.regexp_replace(trimmed, _DOTTED, "$3-$2-$1"), _SLASHED, "$1-$2-$3")
-    return F.when(iso.rlike(_ISO), iso)
+    return (
+        F.when(trimmed.rlike(_ISO), read(trimmed))
+        .when(trimmed.rlike(_DOTTED), read(F.regexp_replace(trimmed, _DOTTED, "$3-$2-$1")))
+        .when(trimmed.rlike(_SLASHED), read(F.regexp_replace(trimmed, _SLASHED, "$1-$2-$3")))
+    )
 
 
 def parse_ts(text: Column, naive_tz: str = "UTC") -> Column:
@@ -31,17 +35,19 @@ def parse_ts(text: Column, naive_tz: str = "UTC") -> Column:
     A dotted date is always day-first. Text without an offset is read in ``naive_tz``, whatever
     the time zone of the session is.
     """
-    iso = _iso_text(text)
-    local = iso.try_cast("timestamp_ntz")
-    shifted = F.convert_timezone(F.lit(naive_tz), F.current_timezone(), local)
-    return F.when(iso.rlike(_ZONED), iso.try_cast("timestamp")).otherwise(
-        shifted.cast("timestamp")
-    )
+    def instant(iso: Column) -> Column:
+        local = iso.try_cast("timestamp_ntz")
+        shifted = F.convert_timezone(F.lit(naive_tz), F.current_timezone(), local)
+        return F.when(iso.rlike(_ZONED), iso.try_cast("timestamp")).otherwise(
+            shifted.cast("timestamp")
+        )
+
+    return _by_spelling(text, instant)
 
 
 def parse_date(text: Column) -> Column:
     """Calendar date as written (an offset does not move it); NULL if it is not a date."""
-    return _iso_text(text).try_cast("date")
+    return _by_spelling(text, lambda iso: iso.try_cast("date"))
 
 
 def day(as_of: datetime.date | str | Column | None) -> Column:

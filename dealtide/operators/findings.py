@@ -44,10 +44,6 @@ class Parsed:
     as_instant: bool = False
 
 
-def _sure(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False))
-
-
 def _any(conditions: Iterable[Column]) -> Column:
     result = F.lit(False)
     for condition in conditions:
@@ -55,7 +51,7 @@ def _any(conditions: Iterable[Column]) -> Column:
     return result
 
 
-def _finding(rule_id: str, severity: str, when: Column, message: Column | str) -> Column:
+def _note(rule_id: str, severity: str, when: Column, message: Column | str) -> Column:
     text = F.lit(message) if isinstance(message, str) else message
     return F.when(
         when,
@@ -80,56 +76,57 @@ def annotate(
     """Typed columns of ``table`` plus the four columns of the findings.
 
     Values are converted only in rows that stay: a malformed number in a dropped row is no
-    reason to abort.
+    reason to abort. The steps are columns of their own, so that each value is parsed and each
+    condition is tested once per row, however often it is used.
     """
     spec = TABLES[table]
     findings = list(findings)
-    dropped = _any(_sure(f.when) for f in findings if f.drops)
-    rows = rows.withColumn("_lost", dropped)
+    columns = [c for c in spec.columns if c in values]
+    seen = {f"_when{i}": F.coalesce(f.when, F.lit(False)) for i, f in enumerate(findings)}
+    rows = rows.withColumns(seen)
+    rows = rows.withColumn(
+        "_lost", _any(F.col(name) for name, f in zip(seen, findings) if f.drops)
+    )
     stays = ~F.col("_lost")
 
+    notes = [
+        _note(f.rule_id, f.severity, F.col(name), f.message) for name, f in zip(seen, findings)
+    ]
     typed: dict[str, Column] = {}
-    notes = [_finding(f.rule_id, f.severity, _sure(f.when), f.message) for f in findings]
-    malformed = []
-    for column, value in values.items():
-        to = spec.type_of(column)
+    malformed: list[Column] = []
+    for column in columns:
+        value, to = values[column], spec.type_of(column)
+        result = F.col(f"_to_{column}")
         if not isinstance(value, Parsed):
             typed[column] = value.cast(to)
-            continue
-        if value.as_instant or isinstance(to, T.TimestampType):
-            parsed = parse_ts(value.text, naive_tz).cast(to)
-            unread = stays & blank_to_null(F.btrim(value.text)).isNotNull() & parsed.isNull()
+        elif value.as_instant or isinstance(to, T.TimestampType):
+            typed[column] = F.when(stays, parse_ts(value.text, naive_tz).cast(to))
+            unread = stays & result.isNull() & blank_to_null(F.btrim(value.text)).isNotNull()
             text = F.concat(F.lit(f"{column} is not a date: "), value.text)
-            notes.append(_finding("TS_UNPARSED", "warning", unread, text))
-            typed[column] = parsed
+            notes.append(_note("TS_UNPARSED", "warning", unread, text))
         else:
-            converted = convert(value.text, to, on_cast_error)
-            typed[column] = F.when(stays, converted.value)
+            typed[column] = F.when(stays, convert(value.text, to, on_cast_error))
             if on_cast_error == "quarantine":
-                wrong = stays & converted.failed
+                wrong = stays & result.isNull() & value.text.isNotNull()
                 malformed.append(wrong)
                 text = F.concat(F.lit(f"{column} is not {to.simpleString()}: "), value.text)
-                notes.append(_finding("CAST_FAILED", "error", wrong, text))
+                notes.append(_note("CAST_FAILED", "error", wrong, text))
 
+    rows = rows.withColumns({f"_to_{c}": typed[c] for c in columns})
+    rows = rows.withColumns({
+        FINDINGS: F.array_compact(F.array(*notes)) if notes else F.array().cast(_FINDING_LIST),
+        DROPPED: _any([F.col("_lost"), *malformed]),
+    })
     return rows.select(
-        *[typed[c].alias(c) for c in spec.columns if c in typed],
-        F.array_compact(F.array(*notes)).alias(FINDINGS) if notes else _no_findings(),
-        (F.col("_lost") | _any(malformed)).alias(DROPPED),
+        *[F.col(f"_to_{c}").alias(c) for c in columns],
+        FINDINGS,
+        DROPPED,
         record_key.alias(KEY),
-        (
-            F.when(_any([_sure(f.when) for f in findings]) | _any(_noted(notes)),
-                   row_json(raw_columns)) if notes else F.lit(None).cast("string")
-        ).alias(SOURCE),
+        F.when(F.size(FINDINGS) > 0, row_json(raw_columns)).alias(SOURCE),
     )
 
 
-def _noted(notes: Iterable[Column]) -> list[Column]:
-    return [note.isNotNull() for note in notes]
-
-
-def _no_findings() -> Column:
-    kind = "array<struct<rule_id:string,severity:string,reason:string>>"
-    return F.array().cast(kind).alias(FINDINGS)
+_FINDING_LIST = "array<struct<rule_id:string,severity:string,reason:string>>"
 
 
 def accepted(annotated: DataFrame) -> DataFrame:
