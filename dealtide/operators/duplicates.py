@@ -1,55 +1,90 @@
-"""Duplicate rows and generated ids, for keys of any frequency.
+"""Duplicate rows and generated ids, for tables of any size and keys of any frequency.
 
-A window that ranks the rows of a key puts each key into one task. That is fine for keys with
-few rows, but a single key may hold a third of the table, as copies of one row. Such hot keys
-are counted first (one pass over the key columns, combined before the shuffle) and their rows
-are spread over salts: the window ranks each salt, and a second window ranks the winners of the
-salts. Tables without hot keys, which is the usual case, pay for one window only.
+Most keys have one row. So the keys with several rows are looked up first: one pass over the key
+columns, combined before the shuffle, whose result is stored with its size.
+
+- If there are few of them, they are broadcast, and only their rows are shuffled and ranked. The
+  rest of the table passes through without a shuffle.
+- If there are many, the whole table is ranked.
+- Either way a single key may hold a third of the table, as copies of one row. A window would
+  put such a hot key into one task, so its rows are spread over salts: a first window ranks each
+  salt, a second one the winners of the salts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealtide.session import store
+
 #: Rows of one key that a single task may rank.
 HOT_ROWS = 1_000_000
-#: More hot keys than this are not broadcast. (A table of 10^12 rows can have 10^6 of them.)
+#: Keys are broadcast up to this number and this total length.
 MAX_BROADCAST_KEYS = 1_000_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def key_size(key: Sequence[str]) -> list[Column]:
+    """Measures for :func:`dealtide.session.store`: number and total length of keys."""
+    length = F.sum(F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in key])))
+    return [F.count(F.lit(1)).alias("keys"), F.coalesce(length, F.lit(0)).alias("bytes")]
+
+
+def is_small(measured: dict, max_keys: int = MAX_BROADCAST_KEYS) -> bool:
+    return measured["keys"] <= max_keys and measured["bytes"] <= MAX_BROADCAST_BYTES
 
 
-def _spread(df: DataFrame, key: Sequence[str], hot_rows: int) -> tuple[DataFrame, bool]:
-    """Add ``_salt``: 0 for ordinary keys, and several values for the rows of a hot key.
+def _known(key: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
 
-    Rows with a NULL in the key are no group at all, so they are spread like a hot key. The salt
-    is the number of the task that read the row: copies of a row have nothing else to tell them
-    apart, and unlike a random number it stays the same when a lost task is run again.
+
+def _ranked(
+    df: DataFrame, key: Sequence[str], order: Sequence[Column], hot_rows: int, max_keys: int
+) -> tuple[DataFrame, bool]:
+    """Add ``_salt`` and ``_rank``, the place of a row among those of its key and salt.
+
+    The salt is 0 but for hot keys, and the second result tells whether there are any. Rows with
+    a NULL in the key are no group at all: they are spread like the rows of a hot key.
     """
-    known = F.lit(True)
-    for column in key:
-        known = known & F.col(column).isNotNull()
-    hot = (
-        df.filter(known)
-        .groupBy(*key)
-        .count()
-        .filter(F.col("count") > hot_rows)
-        .select(*key, F.ceil(F.col("count") / hot_rows).alias("_salts"))
+    key, columns = list(key), df.columns
+    repeated, measured = store(
+        df.filter(_known(key)).groupBy(*key).agg(F.count("*").alias("_rows")).filter("_rows > 1"),
+        *key_size(key),
+        F.count_if(F.col("_rows") > hot_rows).alias("hot"),
     )
-    found = hot.limit(MAX_BROADCAST_KEYS + 1).count()
+    alone = {"_salt": F.lit(0), "_rank": F.lit(1)}
+    if not measured["keys"]:
+        return df.withColumns(alone), False
+    few = is_small(measured, max_keys)
+    rows = df
+    if few:
+        keys = F.broadcast(repeated.select(*key))
+        rows = df.join(keys, key, "left_semi").select(*columns)
+
+    # The number of the task that read a row. Copies of a row have nothing else to tell them
+    # apart, and unlike a random number it is the same when a lost task is run again.
     task = F.spark_partition_id()
-    if not found:
-        return df.withColumn("_salt", F.when(known, F.lit(0)).otherwise(task)), False
-    if found <= MAX_BROADCAST_KEYS:
-        hot = F.broadcast(hot)
-    salted = df.join(hot, list(key), "left").select(*[F.col(c) for c in df.columns], "_salts")
-    salt = (
-        F.when(~known, task)
-        .when(F.col("_salts").isNotNull(), (task % F.col("_salts")).cast("int"))
-        .otherwise(F.lit(0))
-    )
-    return salted.withColumn("_salt", salt), True
+    salt = F.when(_known(key), F.lit(0)).otherwise(task)
+    if measured["hot"]:
+        hot = repeated.filter(F.col("_rows") > hot_rows).select(
+            *key, F.ceil(F.col("_rows") / hot_rows).alias("_salts")
+        )
+        if few or measured["hot"] <= max_keys and measured["bytes"] <= MAX_BROADCAST_BYTES:
+            hot = F.broadcast(hot)
+        rows = rows.join(hot, key, "left").select(*columns, "_salts")
+        salt = F.when(F.col("_salts").isNotNull(), (task % F.col("_salts")).cast("int")).otherwise(
+            salt
+        )
+    window = Window.partitionBy(*key, "_salt").orderBy(*order)
+    ranked = rows.withColumn("_salt", salt).withColumn("_rank", F.row_number().over(window))
+    ranked = ranked.select(*columns, "_salt", "_rank")
+    if few:
+        ranked = ranked.unionByName(df.join(keys, key, "left_anti").select(*columns).withColumns(alone))
+    return ranked, bool(measured["hot"])
 
 
 def mark_duplicates(
@@ -58,6 +93,7 @@ def mark_duplicates(
     prefer: Sequence[Column],
     flag: str = "_duplicate",
     hot_rows: int = HOT_ROWS,
+    max_keys: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """Flag all rows of a key but one. The row that sorts first by ``prefer`` is not flagged.
 
@@ -65,43 +101,41 @@ def mark_duplicates(
     input. Rows with a NULL in the key are never duplicates of each other.
     """
     order = [*prefer, *[F.col(c) for c in df.columns]]
-    known = F.lit(True)
-    for column in key:
-        known = known & F.col(column).isNotNull()
-    salted, has_hot = _spread(df, key, hot_rows)
-    within = Window.partitionBy(*key, "_salt").orderBy(*order)
-    ranked = salted.withColumn("_rank", F.row_number().over(within))
-    if not has_hot:
-        return ranked.select(*df.columns, (known & (F.col("_rank") > 1)).alias(flag))
-    # The first rows of all salts of a key meet; every other row keeps to its own salt.
-    lane = F.when(known & (F.col("_rank") == 1), F.lit(-1)).otherwise(F.col("_salt"))
-    across = Window.partitionBy(*key, "_lane").orderBy(*order)
-    final = ranked.withColumn("_lane", lane).withColumn("_place", F.row_number().over(across))
-    beaten = (F.col("_rank") > 1) | (F.col("_place") > 1)
-    return final.select(*df.columns, (known & beaten).alias(flag))
+    ranked, has_hot = _ranked(df, key, order, hot_rows, max_keys)
+    beaten = F.col("_rank") > 1
+    if has_hot:
+        # The first rows of all salts of a key meet; every other row keeps to its own salt.
+        lane = F.when(_known(key) & ~beaten, F.lit(-1)).otherwise(F.col("_salt"))
+        across = Window.partitionBy(*key, "_lane").orderBy(*order)
+        ranked = ranked.withColumn("_lane", lane).withColumn(
+            "_place", F.row_number().over(across)
+        )
+        beaten = beaten | (F.col("_place") > 1)
+    return ranked.select(*df.columns, (_known(key) & beaten).alias(flag))
 
 
 def keep_first(df: DataFrame, key: Sequence[str], prefer: Sequence[Column]) -> DataFrame:
-    """Only the rows that :func:`mark_duplicates` would not flag.
+    """Only the rows that :func:`mark_duplicates` would not flag, as one plan.
 
     ``rank = 1`` lets Spark drop the other rows of a key before the shuffle as well, so that hot
-    keys need no salt here.
+    keys need no salt here. But all that remains is shuffled.
     """
     order = [*prefer, *[F.col(c) for c in df.columns]]
-    known = F.lit(True)
-    for column in key:
-        known = known & F.col(column).isNotNull()
     first = (
-        df.filter(known)
+        df.filter(_known(key))
         .withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
         .filter(F.col("_rank") == 1)
         .drop("_rank")
     )
-    return first.unionByName(df.filter(~known))
+    return first.unionByName(df.filter(~_known(key)))
 
 
 def add_id(
-    df: DataFrame, name: str, columns: Sequence[str], hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    name: str,
+    columns: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    max_keys: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """Add a 64-bit id made from the content of a row and the number of its copy.
 
@@ -109,8 +143,6 @@ def add_id(
     than ``hot_rows`` copies the ids are still distinct, but depend on the partitioning.)
     """
     hashed = df.withColumn("_content", F.xxhash64(*columns))
-    salted, _ = _spread(hashed, ["_content"], hot_rows)
-    copies = Window.partitionBy("_content", "_salt").orderBy(*[F.col(c) for c in columns])
-    return salted.withColumn("_copy", F.row_number().over(copies)).select(
-        F.xxhash64("_content", "_salt", "_copy").alias(name), *df.columns
-    )
+    order = [F.col(c) for c in columns]
+    ranked, _ = _ranked(hashed, ["_content"], order, hot_rows, max_keys)
+    return ranked.select(F.xxhash64("_content", "_salt", "_rank").alias(name), *df.columns)

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dealtide.operators.duplicates import MAX_BROADCAST_KEYS, is_small, key_size
+from dealtide.session import store
+
 
 def parent_keys(parent: DataFrame, column: str) -> DataFrame:
     """Distinct keys of a parent table, as the one column ``_parent_key``."""
@@ -32,6 +35,26 @@ def mark_known(df: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFr
     return joined.select(*df.columns, F.col("_found").isNotNull().alias(flag))
 
 
+def mark_known_by_exceptions(
+    df: DataFrame, column: str, keys: DataFrame, flag: str, max_keys: int = MAX_BROADCAST_KEYS
+) -> DataFrame:
+    """The same for a large parent that nearly all rows refer to.
+
+    The values without a parent are looked up first, in one pass over that column alone, and
+    stored with their size. If they are few they are broadcast, and the rows of ``df`` stay where
+    they are; otherwise the rows are joined with the parent keys after all.
+    """
+    missing, measured = store(unmatched(df, column, keys).select("value"), *key_size(["value"]))
+    if not measured["keys"]:
+        return df.withColumn(flag, F.col(column).isNotNull())
+    if not is_small(measured, max_keys):
+        return mark_known(df, column, keys, flag)
+    missing = F.broadcast(missing.withColumn("_missing", F.lit(True)))
+    joined = df.join(missing, F.col(column) == F.col("value"), "left")
+    found = F.col(column).isNotNull() & F.col("_missing").isNull()
+    return joined.select(*df.columns, found.alias(flag))
+
+
 def unmatched(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Values of ``column`` without a parent, with their number of rows: ``(value, rows)``.
 

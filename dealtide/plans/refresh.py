@@ -5,14 +5,15 @@ from __future__ import annotations
 import datetime
 import uuid
 from collections.abc import Callable, Mapping
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from dealtide.operators import expectations
 from dealtide.operators.findings import accepted, entries, journal
+from dealtide.operators.unions import union_all
 from dealtide.plans import cleaning
-from dealtide.session import prepare, shared_folder
+from dealtide.session import prepare, store
 from dealtide.sources.snapshot import SnapshotWriter
 
 Tables = Mapping[str, DataFrame]
@@ -70,8 +71,7 @@ class Cleaned(dict):
 
     def entries(self, *tables: str, extra: bool = True) -> DataFrame:
         """Journal entries of the given tables."""
-        found = [entries(self.annotated(t), t, extra) for t in tables]
-        return reduce(DataFrame.unionByName, found)
+        return union_all([entries(self.annotated(t), t, extra) for t in tables])
 
 
 class _Parents:
@@ -92,12 +92,24 @@ def _finished(table: str, rows: DataFrame) -> DataFrame:
     return cleaning.with_unknown_stage(rows) if table == "pipeline_stages" else rows
 
 
+#: Tables of one level do not refer to each other: they are built side by side.
+LEVELS = (
+    ("sources", "users", "pipeline_stages", "companies", "products"),
+    ("contacts", "marketing_costs"),
+    ("deals",),
+    ("deal_products", "payments", "activities", "stage_history", "production_orders", "shipments"),
+)
+JOBS_AT_ONCE = 4
+
+AT_SCALE = cleaning.Options(few_orphans=True)
+
+
 def refresh(
     spark: SparkSession,
     raw: Tables,
     folder: str,
     run_id: str | None = None,
-    options: cleaning.Options = cleaning.DEFAULTS,
+    options: cleaning.Options = AT_SCALE,
     constraints: str = "fail",
     extra: bool = True,
     logged_at: datetime.datetime | None = None,
@@ -114,29 +126,29 @@ def refresh(
     prepare(spark)
     run_id = run_id or uuid.uuid4().hex
     out = SnapshotWriter(spark, folder, run_id)
-    staging = SnapshotWriter(spark, f"{shared_folder(spark)}/dealtide-staging", run_id)
-    raw = {table: out.write("raw", table, df) for table, df in raw.items()}
-
     main: dict[str, DataFrame] = {}
     found: list[DataFrame] = []
 
-    def settle(table: str, rows: DataFrame) -> None:
+    def build(table: str) -> None:
+        if table == "sources":
+            rows = cleaning.sources(raw["deals"], raw["marketing_costs"])
+        else:
+            annotated, _ = store(steps(raw, options)[table](main))
+            found.append(entries(annotated, table, extra))
+            rows = _finished(table, accepted(annotated))
         if constraints == "quarantine":
-            checked = expectations.quarantine(rows, table, main)
-            checked = staging.write("checked", table, checked)
+            checked, _ = store(expectations.quarantine(rows, table, main))
             found.append(entries(checked, table))
             rows = accepted(checked)
         main[table] = out.write("main", table, rows)
-        if constraints == "fail":
-            expectations.enforce(main, [table])
-
-    settle("sources", cleaning.sources(raw["deals"], raw["marketing_costs"]))
-    for table, step in steps(raw, options).items():
-        rows = staging.write("annotated", table, step(main))
-        found.append(entries(rows, table, extra))
-        settle(table, _finished(table, accepted(rows)))
 
-    log = journal(reduce(DataFrame.unionByName, found), run_id, logged_at)
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as jobs:
+        raw = dict(jobs.map(lambda item: (item[0], out.write("raw", *item)), raw.items()))
+        for level in LEVELS:
+            list(jobs.map(build, level))
+            if constraints == "fail":
+                expectations.enforce(main, level)
+    log = journal(union_all(found), run_id, logged_at)
     main["rejects"] = out.write("main", "rejects", log)
     expectations.enforce(main, ["rejects"])
     out.finish()

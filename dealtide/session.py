@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: All of these can be set on a running session.
 SETTINGS = {
@@ -20,6 +22,19 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+#: Can only be set when the session is started.
+START_SETTINGS = {
+    # Recording the Python call site of every column expression takes longer than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def start(builder: SparkSession.Builder) -> SparkSession:
+    """A session with all settings. Any other session works as well, after :func:`prepare`."""
+    for name, value in {**START_SETTINGS, **SETTINGS}.items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
@@ -40,3 +55,17 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="dealtide-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def store(df: DataFrame, *measures: Column) -> tuple[DataFrame, dict]:
+    """Write an intermediate table to the shared folder, and measure it while it is written.
+
+    Returns the stored table, which later steps read instead of computing it again (also when an
+    executor is lost), and the values of the aggregates ``measures``.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/dealtide-tables/{uuid.uuid4().hex}"
+    seen = Observation()
+    measures = measures or (F.count(F.lit(1)).alias("rows"),)
+    df.observe(seen, *measures).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get
