@@ -255,8 +255,8 @@ def clean_orphans(spark, sf_dir):
     orders = base(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
     parts = base(spark, sf_dir, "part").filter("p_size <= 25")
     lines = base(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
-    lines = mark_known(lines, "l_orderkey", parent_keys(orders, "o_orderkey"), "has_order")
-    lines = mark_known(lines, "l_partkey", parent_keys(parts, "p_partkey"), "has_part")
+    lines = mark_known(lines, "l_orderkey", orders.select("o_orderkey"), "has_order")
+    lines = mark_known(lines, "l_partkey", parts.select("p_partkey"), "has_part")
     return lines.groupBy("has_order", "has_part").agg(
         F.count("*").alias("line_count"),
         F.sum(F.col("l_extendedprice").cast("decimal(14,2)")).alias("line_value"),

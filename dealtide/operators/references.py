@@ -1,14 +1,19 @@
 """References between tables: does the parent row exist?
 
 ``NOT IN`` is never used. Spark runs it as a null-aware join that broadcasts the parent whatever
-its size, and two of them joined by OR as nested loops. One left join on the distinct parent
-keys serves the accepted and the rejected rows at once. Spark broadcasts the keys if they are
-small by its own estimate or by their size at run time; otherwise both sides are shuffled by key
-and AQE splits the partitions of hot keys.
+its size, and two of them joined by OR as nested loops. A flag per row serves the accepted and
+the rejected rows at once, and comes from one of two joins:
+
+- :func:`mark_known` joins with the parent keys. For parents that are small, so that Spark
+  broadcasts them, and for child columns without hot values.
+- :func:`mark_known_by_exceptions` looks up the values without a parent first. For large parents
+  and for columns of which one value may hold a third of the rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,19 +47,34 @@ def mark_known_by_exceptions(
 
     The values without a parent are looked up first, in one pass over that column alone, and
     stored with their size. If they are few they are broadcast, and the rows of ``df`` stay where
-    they are; otherwise the rows are joined with the parent keys after all.
+    they are. Otherwise the rows are joined with the parent keys after all; these are stored
+    before, because AQE splits hot partitions only if both sides come straight from a shuffle.
     """
     missing, measured = store(unmatched(df, column, keys).select("value"), *key_size(["value"]))
     if not measured["keys"]:
         return df.withColumn(flag, F.col(column).isNotNull())
     if not is_small(measured, max_keys):
-        return mark_known(df, column, keys, flag)
+        stored, _ = store(keys)
+        return mark_known(df, column, stored, flag)
     missing = F.broadcast(missing.withColumn("_missing", F.lit(True)))
     joined = df.join(missing, F.col(column) == F.col("value"), "left")
     found = F.col(column).isNotNull() & F.col("_missing").isNull()
     return joined.select(*df.columns, found.alias(flag))
 
 
+def rows_with(
+    df: DataFrame, keys: DataFrame, columns: Sequence[str], max_keys: int = MAX_BROADCAST_KEYS
+) -> DataFrame:
+    """Rows of ``df`` whose ``columns`` are among ``keys``, a table with the same columns.
+
+    The keys are stored, and broadcast if they are few.
+    """
+    keys, measured = store(keys.select(*columns), *key_size(columns))
+    if is_small(measured, max_keys):
+        keys = F.broadcast(keys)
+    return df.join(keys, list(columns), "left_semi").select(*df.columns)
+
+
 def unmatched(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Values of ``column`` without a parent, with their number of rows: ``(value, rows)``.
 

@@ -24,15 +24,12 @@ class Options:
 
     ``on_cast_error``: ``fail`` aborts the load on a malformed number, flag or date;
     ``quarantine`` drops the row and journals it. ``naive_tz``: time zone of timestamps without
-    an offset. ``won_stage``: the stage whose deals must have a closing date. ``few_orphans``:
-    look up the missing deals of a child table first, instead of joining all its rows with the
-    deals; right for tables much larger than the memory of an executor.
+    an offset. ``won_stage``: the stage whose deals must have a closing date.
     """
 
     on_cast_error: str = "fail"
     naive_tz: str = "UTC"
     won_stage: str = "WON"
-    few_orphans: bool = False
 
 
 DEFAULTS = Options()
@@ -145,7 +142,8 @@ def _product_preference() -> list[Column]:
 
 
 def contacts(raw: DataFrame, companies: DataFrame, options: Options = DEFAULTS) -> DataFrame:
-    rows = mark_known(raw, "company_id", parent_keys(companies, "company_id"), "_known")
+    keys = parent_keys(companies, "company_id")
+    rows = mark_known_by_exceptions(raw, "company_id", keys, "_known")
     values = {
         "contact_id": F.col("contact_id"),
         "company_id": F.when(F.col("_known"), F.col("company_id")),
@@ -213,16 +211,17 @@ def _no_deal(rule_id: str = "DEAL_MISSING") -> list[Finding]:
     ]
 
 
-def _with_deal(raw: DataFrame, deals: DataFrame, options: Options) -> DataFrame:
-    mark = mark_known_by_exceptions if options.few_orphans else mark_known
-    return mark(raw, "deal_id", parent_keys(deals, "deal_id"), "_deal")
+def _with_deal(raw: DataFrame, deals: DataFrame) -> DataFrame:
+    return mark_known_by_exceptions(raw, "deal_id", parent_keys(deals, "deal_id"), "_deal")
 
 
 def deal_products(
     raw: DataFrame, deals: DataFrame, products: DataFrame, options: Options = DEFAULTS
 ) -> DataFrame:
-    rows = _with_deal(raw, deals, options)
-    rows = mark_known(rows, "product_id", parent_keys(products, "product_id"), "_product")
+    rows = _with_deal(raw, deals)
+    rows = mark_known_by_exceptions(
+        rows, "product_id", parent_keys(products, "product_id"), "_product"
+    )
     no_deal = F.col("deal_id").isNotNull() & ~F.col("_deal")
     no_product = F.col("product_id").isNotNull() & ~F.col("_product")
     values = {
@@ -255,7 +254,7 @@ def payments(raw: DataFrame, deals: DataFrame, options: Options = DEFAULTS) -> D
         "amount": Parsed(F.col("amount")),
         **_texts("payment_type", "status"),
     }
-    rows = _with_deal(raw, deals, options)
+    rows = _with_deal(raw, deals)
     return _annotate(rows, "payments", F.col("payment_id"), values, _no_deal(), options)
 
 
@@ -268,7 +267,7 @@ def activities(raw: DataFrame, deals: DataFrame, options: Options = DEFAULTS) ->
         "completed_at": Parsed(F.col("completed_at")),
         **_texts("activity_type", "direction", "subject", "responsible_user_id"),
     }
-    rows = _with_deal(raw, deals, options)
+    rows = _with_deal(raw, deals)
     return _annotate(rows, "activities", F.col("activity_id"), values, _no_deal(), options)
 
 
@@ -277,7 +276,7 @@ def stage_history(
 ) -> DataFrame:
     """Stage changes, one row per event. Copies of an orphan event are all journalled as such."""
     rows = mark_duplicates(raw, ["event_id"], [F.col("changed_at").asc_nulls_last()])
-    rows = _with_deal(rows, deals, options)
+    rows = _with_deal(rows, deals)
     known = parent_keys(stages, "stage_id")
     rows = mark_known(rows, "old_stage_id", known, "_old_known")
     rows = mark_known(rows, "new_stage_id", known, "_new_known")
@@ -311,7 +310,7 @@ def production_orders(raw: DataFrame, deals: DataFrame, options: Options = DEFAU
         "actual_finish_at": Parsed(_text("actual_finish_at")),
         **_texts("status", "workshop"),
     }
-    rows = _with_deal(raw, deals, options)
+    rows = _with_deal(raw, deals)
     key = F.col("production_order_id")
     return _annotate(rows, "production_orders", key, values, _no_deal(), options)
 
@@ -324,7 +323,7 @@ def shipments(raw: DataFrame, deals: DataFrame, options: Options = DEFAULTS) ->
         "actual_date": Parsed(_text("actual_date")),
         "status": _text("status"),
     }
-    rows = _with_deal(raw, deals, options)
+    rows = _with_deal(raw, deals)
     findings = _no_deal("SHIPMENT_DEAL_MISSING")
     return _annotate(rows, "shipments", F.col("shipment_id"), values, findings, options)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dealtide.functions import day, phone_number
 from dealtide.model import UNKNOWN_STAGE
+from dealtide.operators.unions import union_all
 from dealtide.plans.reports import Day
 
 Tables = Mapping[str, DataFrame]
@@ -132,8 +133,8 @@ def lost_without_reason(tables: Tables) -> DataFrame:
 def unused_empty_companies(tables: Tables) -> DataFrame:
     """Companies without name, tax number and industry that no deal or contact refers to."""
     empty = tables["companies"].filter("name IS NULL AND inn IS NULL AND industry IS NULL")
-    used = [tables[t].select("company_id") for t in ("deals", "contacts")]
-    return empty.join(used[0], "company_id", "left_anti").join(used[1], "company_id", "left_anti")
+    used = union_all([tables[t].select("company_id") for t in ("deals", "contacts")]).distinct()
+    return empty.join(used, "company_id", "left_anti")
 
 
 # ---- stage history ------------------------------------------------------------------------
