@@ -31,7 +31,7 @@ HEADLINES = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = start(
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.ui.enabled", "false")

@@ -20,6 +20,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods of more than 8000 bytes. Cleaning a wide table in one
+    # generated method would be interpreted; beyond this size Spark splits it up instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 #: Can only be set when the session is started.
