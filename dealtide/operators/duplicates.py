@@ -28,14 +28,19 @@ MAX_BROADCAST_KEYS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def key_size(key: Sequence[str]) -> list[Column]:
+def key_size(key: Sequence[str], prefix: str = "", where: Column | None = None) -> list[Column]:
     """Measures for :func:`dealtide.session.store`: number and total length of keys."""
-    length = F.sum(F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in key])))
-    return [F.count(F.lit(1)).alias("keys"), F.coalesce(length, F.lit(0)).alias("bytes")]
+    where = F.lit(True) if where is None else where
+    length = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in key]))
+    return [
+        F.count_if(where).alias(f"{prefix}keys"),
+        F.coalesce(F.sum(F.when(where, length)), F.lit(0)).alias(f"{prefix}bytes"),
+    ]
 
 
-def is_small(measured: dict, max_keys: int = MAX_BROADCAST_KEYS) -> bool:
-    return measured["keys"] <= max_keys and measured["bytes"] <= MAX_BROADCAST_BYTES
+def is_small(measured: dict, max_keys: int = MAX_BROADCAST_KEYS, prefix: str = "") -> bool:
+    few = measured[f"{prefix}keys"] <= max_keys
+    return few and measured[f"{prefix}bytes"] <= MAX_BROADCAST_BYTES
 
 
 def _known(key: Sequence[str]) -> Column:
@@ -54,7 +59,7 @@ def _ranked(
     repeated, measured = store(
         df.filter(_known(key)).groupBy(*key).agg(F.count("*").alias("_rows")).filter("_rows > 1"),
         *key_size(key),
-        F.count_if(F.col("_rows") > hot_rows).alias("hot"),
+        *key_size(key, "hot_", F.col("_rows") > hot_rows),
     )
     alone = {"_salt": F.lit(0), "_rank": F.lit(1)}
     if not measured["keys"]:
@@ -67,24 +72,24 @@ def _ranked(
 
     # The number of the task that read a row. Copies of a row have nothing else to tell them
     # apart, and unlike a random number it is the same when a lost task is run again.
-    task = F.spark_partition_id()
-    salt = F.when(_known(key), F.lit(0)).otherwise(task)
-    if measured["hot"]:
+    rows = rows.withColumn("_task", F.spark_partition_id())
+    salt = F.when(_known(key), F.lit(0)).otherwise(F.col("_task"))
+    if measured["hot_keys"]:
         hot = repeated.filter(F.col("_rows") > hot_rows).select(
             *key, F.ceil(F.col("_rows") / hot_rows).alias("_salts")
         )
-        if few or measured["hot"] <= max_keys and measured["bytes"] <= MAX_BROADCAST_BYTES:
+        if is_small(measured, max_keys, "hot_"):
             hot = F.broadcast(hot)
-        rows = rows.join(hot, key, "left").select(*columns, "_salts")
-        salt = F.when(F.col("_salts").isNotNull(), (task % F.col("_salts")).cast("int")).otherwise(
-            salt
-        )
+        rows = rows.join(hot, key, "left").select(*columns, "_task", "_salts")
+        spread = (F.col("_task") % F.col("_salts")).cast("int")
+        salt = F.when(F.col("_salts").isNotNull(), spread).otherwise(salt)
     window = Window.partitionBy(*key, "_salt").orderBy(*order)
     ranked = rows.withColumn("_salt", salt).withColumn("_rank", F.row_number().over(window))
     ranked = ranked.select(*columns, "_salt", "_rank")
     if few:
-        ranked = ranked.unionByName(df.join(keys, key, "left_anti").select(*columns).withColumns(alone))
-    return ranked, bool(measured["hot"])
+        others = df.join(keys, key, "left_anti").select(*columns)
+        ranked = ranked.unionByName(others.withColumns(alone))
+    return ranked, bool(measured["hot_keys"])
 
 
 def mark_duplicates(

@@ -10,7 +10,7 @@ SCHEMA = "k string, v int, t string"
 # Route: (rows that make a key hot, keys that may be broadcast)
 ROUTES = {
     "few repeated keys": (1000, 1000), "many repeated keys": (1000, 0),
-    "hot keys": (5, 1000), "hot keys among many": (5, 0),
+    "hot keys": (5, 1000), "hot keys among many": (5, 0), "one hot key among many": (30, 2),
 }
 
 
