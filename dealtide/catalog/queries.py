@@ -22,7 +22,7 @@ from dealtide.operators.references import (
 )
 from dealtide.operators.unions import union_all
 from dealtide.plans import quality, reports
-from dealtide.plans.refresh import Cleaned
+from dealtide.plans.refresh import Cleaned, refresh
 from dealtide.session import prepare, shared_folder
 from dealtide.sources.exports import read_raw
 from dealtide.sources.snapshot import SnapshotWriter, read_manifest, read_snapshot
@@ -607,4 +607,13 @@ def snapshot_manifest(spark, sf_dir):
     )
 
 
+@query
+def refresh_manifest(spark, sf_dir):
+    """The full refresh of all raw tables, with quarantine: rows of every stored table."""
+    raw = raw_feed(spark, sf_dir).load_all()
+    folder = f"{shared_folder(spark)}/runs"
+    run = refresh(spark, raw, folder, constraints="quarantine")
+    return read_manifest(spark, run).select("layer", "table_name", "row_count")
+
+
 __all__ = ["QUERIES", "plain"]
