@@ -39,5 +39,5 @@ def source_key(text: Column) -> Column:
 
 
 def source_name(key: Column) -> Column:
-    """Display name of a source key: ``yandex_direct`` gives ``Yandex Direct``."""
+    """Display name of a source key: ``trade_fair`` gives ``Trade Fair``."""
     return F.initcap(F.replace(key, F.lit("_"), F.lit(" ")))

@@ -150,7 +150,7 @@ def test_views(spark, tables):
 
 def test_phones(tables):
     assert rows(quality.standard_phones(tables["contacts"]), "contact_id", "phone") == [
-        ("H1", "+79170001001"), ("H2", "+79170003003"), ("H3", "ext. 12")]
+        ("H1", "+79025551401"), ("H2", "+79035550303"), ("H3", "ext. 12")]
 
 
 def test_currency(tables):
