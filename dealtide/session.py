@@ -45,6 +45,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(
+    spark: SparkSession, largest_shuffle_bytes: int, partition_bytes: int = 256 * 1024 * 1024
+) -> int:
+    """Set the partitions of a shuffle so that each fits into the memory of a task.
+
+    Size them for the largest shuffle of the job; AQE merges the partitions of smaller ones. The
+    default of Spark, 200, would give partitions of 50 GB for a shuffle of 10 TB.
+    """
+    wanted = -(-largest_shuffle_bytes // partition_bytes)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach: ``spark.checkpoint.dir`` of the session.
 
