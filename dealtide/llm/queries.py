@@ -5,11 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealtide.llm import chat, mixing, sharding
+from dealtide.llm import chat, licenses, mixing, sharding, topk, urls
 from dealtide.llm.tables import read, words_in
 
+#: Rows whose id is divisible by this are queries, for searches.
+QUERY_STEP = 50
 SHARDS = 8
 
+#: Verdict, host and path of the URL rules.
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 vectors of highest inner product with every 50th vector."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0, k=5)
+
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot, under the law ``rows``."""
@@ -25,6 +41,25 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document says about licenses."""
+    scanned = licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "licenses.*")
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"),
+        F.array_max("base.start").alias("last_word"),
+        joined(F.col("base.label")).alias("base_labels"),
+        joined(F.concat("base.label", "found.label")).alias("labels"),
+        "score",
+    )
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all formatted conversations, read back from the formatted texts."""
     said = f"{chat.END}{chat.START}assistant ok"
@@ -57,10 +92,19 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, "url", URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
+    "op1_topk": op1_topk,
+    "op4_licenses": op4_licenses,
     "op2_sharding": op2_sharding,
     "op6_chat": op6_chat,
     "op7_mixing": op7_mixing,
+    "op9_urls": op9_urls,
 }
 
 #: CRC-32 in SQL: the table of its polynomial, made by its rule, applied byte by byte.
@@ -76,7 +120,49 @@ _CRC32 = """xor(4294967295, list_reduce(
 
 _SOURCE = "coalesce('0' || source, '1')"
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _urls_oracle() -> str:
+    def hit(term: str) -> str:
+        return f"regexp_matches(low, '(^|[^a-z])(?:{term})([^a-z]|$)')"
+
+    weight = " + ".join(f"CASE WHEN {hit(term)} THEN {w} ELSE 0 END" for term, w in urls.SOFT.items())
+    rules = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in URL_RULES)
+    return f"""
+        WITH parts AS (
+            SELECT page_id, url, translate(coalesce(url, ''), '{_UPPER}', '{_UPPER.lower()}') AS low,
+                   translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), '{_UPPER}', '{_UPPER.lower()}') AS host,
+                   regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+            FROM pages
+        ), rules(verdict, base, start) AS (VALUES {rules}),
+        ruled AS (
+            SELECT p.page_id, p.low, p.host, p.path, arg_max(base || start, length(base || start)) AS rule,
+                   arg_max(verdict, length(base || start)) AS ruled
+            FROM parts p LEFT JOIN rules r
+              ON (p.host = r.base OR ends_with(p.host, '.' || r.base)) AND starts_with(p.path, r.start)
+            GROUP BY p.page_id, p.low, p.host, p.path
+        )
+        SELECT page_id, host, path, rule,
+               coalesce(ruled, CASE WHEN {hit("|".join(urls.STRICT))} OR {weight} >= {urls.REJECT}
+                        THEN 'block' ELSE 'allow' END) AS verdict
+        FROM ruled
+    """
+
+
 ORACLE = {
+    "op1_topk": f"""
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM vectors q JOIN vectors c ON q.vec_id % {QUERY_STEP} = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 5
+    """,
+    "op9_urls": _urls_oracle(),
     "op2_sharding": f"""
         WITH RECURSIVE {_CRC_TABLE}, ranked AS (
             SELECT doc_id, {_CRC32} AS text_crc32, strlen(coalesce(text, '')) + 1 AS size, {_SOURCE} AS source,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +50,20 @@ def words_in(text: Column) -> Column:
 def plain_columns(df: DataFrame) -> list[str]:
     """Columns that can be compared and hashed: all but maps, variants and the like."""
     return [f"`{f.name}`" for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+
+
+def prepare_python(spark: SparkSession) -> None:
+    """Before Python tasks: give the executors this package, and bound what a task holds of its
+    input at once, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 * 1024 * 1024))
+    context = spark.sparkContext
+    if getattr(context, "_dealtide_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    # The driver serves this file to the executors as long as the session lives.
+    archive = Path(tempfile.mkdtemp(prefix="dealtide-")) / "dealtide.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for path in sorted(package.rglob("*.py")):
+            packed.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._dealtide_shipped = True
