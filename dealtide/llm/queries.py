@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealtide.llm import chat, licenses, mixing, sharding, topk, urls
+from dealtide.llm import chat, licenses, mixing, sharding, topk, toxicity, urls
 from dealtide.llm.tables import read, words_in
 
 #: Rows whose id is divisible by this are queries, for searches.
@@ -92,6 +92,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of two thirds of them."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn_from_tables(documents, read(spark, sf_dir, "labels"))
+    return toxicity.score(documents, lexicon).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "toxicity.score",
+        (F.col("toxicity.score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -104,6 +116,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op6_chat": op6_chat,
     "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
 }
 
