@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealtide.llm import chat, licenses, mixing, sharding, topk, toxicity, urls
+from dealtide.llm import chat, langid, licenses, mixing, sharding, topk, toxicity, urls
 from dealtide.llm.tables import read, words_in
 
 #: Rows whose id is divisible by this are queries, for searches.
@@ -110,6 +110,17 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, "url", URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = langid.held_out(F.col("doc_id"))
+    identifier = langid.learn(documents.filter(~held_out).select("lang", "text"))
+    return langid.identify(documents.select("doc_id", "text"), identifier).select(
+        "doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score",
+        "language.rejected",
+    )
+
+
 QUERIES = {
     "op1_topk": op1_topk,
     "op4_licenses": op4_licenses,
@@ -118,6 +129,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
+    "op10_langid": op10_langid,
 }
 
 #: CRC-32 in SQL: the table of its polynomial, made by its rule, applied byte by byte.
