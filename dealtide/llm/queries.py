@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealtide.llm import chat, langid, licenses, mixing, sharding, topk, toxicity, urls
+from dealtide.llm import chat, langid, licenses, mixing, neardup, sharding, topk, toxicity, urls
 from dealtide.llm.tables import read, words_in
 
 #: Rows whose id is divisible by this are queries, for searches.
@@ -60,6 +60,12 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents, on shingles of four words."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(documents, size=4).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all formatted conversations, read back from the formatted texts."""
     said = f"{chat.END}{chat.START}assistant ok"
@@ -125,6 +131,7 @@ QUERIES = {
     "op1_topk": op1_topk,
     "op4_licenses": op4_licenses,
     "op2_sharding": op2_sharding,
+    "op5_neardup": op5_neardup,
     "op6_chat": op6_chat,
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
