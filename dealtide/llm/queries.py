@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealtide.llm import chat, langid, licenses, mixing, neardup, sharding, topk, toxicity, urls
+from dealtide.llm import chat, decontaminate, langid, licenses, mixing, neardup, sharding, topk, toxicity, urls
 from dealtide.llm.tables import read, words_in
 
 #: Rows whose id is divisible by this are queries, for searches.
@@ -41,6 +41,17 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds, exactly or with a few edits."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(documents, read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).groupBy("doc_id", "leak.item_id").agg(
+        F.count("*").alias("passages"),
+        F.min("leak.distance").alias("distance"),
+        F.min("leak.start").alias("first_word"),
+    )
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document says about licenses."""
     scanned = licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "licenses.*")
@@ -129,6 +140,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk": op1_topk,
+    "op3_decontamination": op3_decontamination,
     "op4_licenses": op4_licenses,
     "op2_sharding": op2_sharding,
     "op5_neardup": op5_neardup,
