@@ -16,6 +16,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -287,6 +288,14 @@ _LEAK = "struct<item_id:bigint,start:bigint,words:bigint,distance:bigint>"
 _ARROW = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "start", "words", "distance")]))
 
 
+def _search(shared: Broadcast):
+    @F.arrow_udf(f"array<{_LEAK}>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(shared.value.leaks([t.as_py() for t in texts]), _ARROW)
+
+    return run
+
+
 def find_leaks(
     df: DataFrame,
     items: DataFrame,
@@ -324,11 +333,5 @@ def find_leaks(
     for n in range(passes):
         part = wanted.filter(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == n) if passes > 1 else wanted
         rows = sorted((r["id"], r["text"]) for r in part.collect())
-        shared = spark.sparkContext.broadcast(Index(rows, edits, recall))
-
-        @F.arrow_udf(f"array<{_LEAK}>")
-        def run(texts: pa.Array, shared=shared) -> pa.Array:
-            return pa.array(shared.value.leaks([t.as_py() for t in texts]), _ARROW)
-
-        found.append(run(given))
+        found.append(_search(spark.sparkContext.broadcast(Index(rows, edits, recall)))(given))
     return out.withColumn(name, F.concat(*found))
