@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealtide.llm.tables import keep
+
 
 def range_rows(rows: int) -> int:
     """Rows in a range, and number of ranges, for a table of so many rows."""
@@ -39,9 +41,11 @@ def running_sum(
     if group is None:
         dealt = df.withColumn("__group", F.lit("")).withColumn("__ranges", F.lit(per_range))
     else:
-        sizes = df.groupBy(F.col(group).alias("__group")).agg(
+        # Stored, so that the join knows its size: a small one is broadcast, and no hot group is
+        # shuffled for a join; a large one is joined by key, and AQE splits hot groups.
+        sizes = keep(df.groupBy(F.col(group).alias("__group")).agg(
             F.ceil(F.count("*") / F.lit(per_range)).cast("int").alias("__ranges")
-        )
+        ))
         dealt = df.withColumn("__group", F.col(group)).join(sizes, "__group")
     dealt = dealt.withColumn("__range", F.floor(spread * F.col("__ranges")).cast("int"))
     within = Window.partitionBy("__group").orderBy("__range")
