@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealtide.llm import chat, decontaminate, langid, licenses, mixing, neardup, sharding, topk, toxicity, urls
-from dealtide.llm.tables import read, words_in
+from dealtide.llm.tables import keep, read, words_in
 
 #: Rows whose id is divisible by this are queries, for searches.
 QUERY_STEP = 50
@@ -104,6 +104,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document: weights 5, 2, 1 and 150% of all words."""
     documents = read(spark, sf_dir, "documents").select("doc_id", "source", words_in(F.col("text")).alias("size"))
+    documents = keep(documents)  # the texts are read once
     return mixing.mix(documents, "size").select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
