@@ -48,8 +48,8 @@ def words_in(text: Column) -> Column:
 
 
 def plain_columns(df: DataFrame) -> list[str]:
-    """Columns that can be compared and hashed: all but maps, variants and the like."""
-    return [f"`{f.name}`" for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    """Columns that can be hashed: all but those that are, or hold, maps or variants."""
+    return [f"`{name}`" for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
 
 
 def prepare_python(spark: SparkSession) -> None:
