@@ -69,7 +69,8 @@ NAMES = (
     ("gpl", "gpl", r"(?:gnu )?gpl(?: ?v?[123])?(?: 0)?(?: or later| only)?"),
     ("isc", "isc", r"isc"),
     ("lgpl-2.1", "lesser general", r"(?:gnu )?lesser general public(?: license)? v?(?:ersion )?2 1"),
-    ("lgpl-3.0", "lesser general", r"(?:gnu )?lesser general public(?: license)?(?: v?(?:ersion )?3(?: 0)?)?"),
+    ("lgpl-3.0", "lesser general", r"(?:gnu )?lesser general public(?: license)? v?(?:ersion )?3(?: 0)?"),
+    ("lgpl", "lesser general", r"(?:gnu )?lesser general public(?: license)?"),
     ("lgpl", "lgpl", r"(?:gnu )?lgpl(?: ?v?[23])?(?: [01])?"),
     ("lppl-1.3c", "latex project", r"latex project public(?: license)?(?: 1 3c?)?"),
     ("mit", "mit", r"(?:mit|expat)"),
@@ -95,6 +96,7 @@ WAYS = (
     ("grant", "licensed under", r"(?:is |are )?(?:dual )?licensed under (?:the )?(?:terms of (?:the )?)?(?:an? )?{}(?: licen[cs]e)?", 80, 0.95),
     ("release", " under ", r"(?:released|distributed|published|available|provided|offered|shared|covered) under (?:the )?(?:terms of (?:the )?)?(?:an? )?{}(?: licen[cs]e)?", 80, 0.95),
     ("notice", "licen", r"under (?:the )?(?:terms of (?:the )?)?{} licen[cs]e", 70, 0.9),
+    ("terms", "licen", r"under (?:the )?(?:terms of (?:the )?)?{}", 72, 0.9),
     ("mention", "licen", r"(?:the )?{} licen[cs]e", 50, 0.6),
     ("label", "license", r"license {}", 40, 0.5),
 )
@@ -151,6 +153,8 @@ def rules() -> tuple[Rule, ...]:
     ]
     for n, (label, part, name) in enumerate(NAMES):
         for way, keyword, pattern, priority, confidence in WAYS:
+            if way == "terms" and "license" not in name:
+                continue  # without the word in its name, it may be no license at all
             # The longer the name, the more it says: "cc by nc" is not "cc by".
             made.append(Rule(
                 f"{way}-{n}-{label}", label, part if len(part) > 3 else keyword, pattern.format(f"(?:{name})"),
