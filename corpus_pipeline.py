@@ -37,8 +37,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One text of each group of near duplicates, the one with the smallest id. Texts without words
     all stay."""
-    packed = docs.select(F.struct(*_columns(docs)).alias("row"), "doc_id", "text")
-    return neardup.near_duplicates(packed, size=SHINGLE).filter("representative").select("row.*")
+    rest = [c for c in _columns(docs) if c.lower() not in ("`doc_id`", "`text`")]
+    packed = docs.select("doc_id", "text", F.struct(F.lit(0), *rest).alias("rest"))  # the text once
+    kept = neardup.near_duplicates(packed, size=SHINGLE).filter("representative")
+    return kept.select("doc_id", "text", "rest.*").select(*_columns(docs))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
