@@ -8,10 +8,11 @@ from conftest import plan_of
 
 import __spark_entry__ as entry_point
 from dealtide.catalog.feed import BASE_TABLES
+from dealtide.catalog.oracle import ORACLE
+from dealtide.catalog.queries import QUERIES
 from dealtide.plans import reports
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not there")
 
@@ -27,6 +28,7 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
 def canonical(row):
