@@ -3,51 +3,109 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ISO = r"^\d{4}-\d{1,2}-\d{1,2}"
+# Most texts: ISO with seconds, and no zone or one that Spark reads as it stands.
+_PLAIN_LOCAL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d+)?)?$"
+_PLAIN_ZONED = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)? ?(Z|[+-]\d{2}:\d{2})$"
+
 _DOTTED = r"^(\d{1,2})\.(\d{1,2})\.(\d{4})(?=\D|$)"
 _SLASHED = r"^(\d{4})/(\d{1,2})/(\d{1,2})(?=\D|$)"
-# A zone can only follow a time of day: Z, +05, +05:00 or a region name.
-_ZONED = r":\d{2}(\.\d+)?\s*([Zz]|[+-]\d|[A-Za-z]+/)"
+# A day, and perhaps a time (the seconds may be missing), and perhaps a zone behind the time.
+_PARTS = r"^(\d{4}-\d{1,2}-\d{1,2})(?:(?:[Tt]|\s+)(\d{1,2}:\d{2})(:\d{2}(?:\.\d+)?)?\s*(.*))?$"
+_OFFSET = r"^([+-])(\d{1,2})(?::?(\d{2}))?$"
+_REGION = r"^[A-Za-z]+(?:/[A-Za-z0-9_+-]+)+$"
 
+# Offsets of zone abbreviations.
+ABBREVIATIONS = {
+    "Z": "+00:00", "UTC": "+00:00", "GMT": "+00:00", "UT": "+00:00", "WET": "+00:00",
+    "WEST": "+01:00", "CET": "+01:00", "CEST": "+02:00", "EET": "+02:00", "EEST": "+03:00",
+    "MSK": "+03:00", "EST": "-05:00", "EDT": "-04:00", "CST": "-06:00", "CDT": "-05:00",
+    "MST": "-07:00", "MDT": "-06:00", "PST": "-08:00", "PDT": "-07:00",
+}
 
-def _by_spelling(text: Column, read: Callable[[Column], Column]) -> Column:
-    """Apply ``read`` to the text with a dotted or slashed date rewritten to ISO; else NULL.
 
-    Only text that starts with a full date is read. Spark's cast alone would also take ``2026``
-    or ``now``. ISO text, the usual case, comes first and is not rewritten.
-    """
+def _iso(text: Column) -> Column:
+    """Trimmed text with a dotted or slashed date rewritten to ISO."""
     trimmed = F.btrim(text)
     return (
-        F.when(trimmed.rlike(_ISO), read(trimmed))
-        .when(trimmed.rlike(_DOTTED), read(F.regexp_replace(trimmed, _DOTTED, "$3-$2-$1")))
-        .when(trimmed.rlike(_SLASHED), read(F.regexp_replace(trimmed, _SLASHED, "$1-$2-$3")))
+        F.when(trimmed.rlike(_DOTTED), F.regexp_replace(trimmed, _DOTTED, "$3-$2-$1"))
+        .when(trimmed.rlike(_SLASHED), F.regexp_replace(trimmed, _SLASHED, "$1-$2-$3"))
+        .otherwise(trimmed)
+    )
+
+
+def _part(iso: Column, group: int) -> Column:
+    """A group of the parts; NULL if it is empty, or the text is no date at all."""
+    return F.nullif(F.regexp_extract(iso, _PARTS, group), F.lit(""))
+
+
+def _local(iso: Column) -> Column:
+    """Day and time as they stand, without the zone; NULL if either is wrong."""
+    clock = F.concat(F.lit(" "), _part(iso, 2), F.coalesce(_part(iso, 3), F.lit(":00")))
+    return F.concat(_part(iso, 1), F.coalesce(clock, F.lit(""))).try_cast("timestamp_ntz")
+
+
+def _zone(iso: Column) -> Column:
+    """The zone in a spelling that Spark reads: ``none`` if there is none, NULL if it is unknown.
+
+    ``UTC+05:00`` and the like are unknown: systems disagree about the sign.
+    """
+    zone = _part(iso, 4)
+    minutes = F.coalesce(F.nullif(F.regexp_extract(zone, _OFFSET, 3), F.lit("")), F.lit("00"))
+    hours = F.lpad(F.regexp_extract(zone, _OFFSET, 2), 2, "0")
+    offset = F.concat(F.regexp_extract(zone, _OFFSET, 1), hours, F.lit(":"), minutes)
+    names = F.create_map(*[F.lit(x) for pair in ABBREVIATIONS.items() for x in pair])
+    return (
+        F.when(zone.isNull(), F.lit("none"))
+        .when(zone.rlike(_OFFSET), offset)
+        .when(zone.rlike(_REGION), zone)
+        .otherwise(F.try_element_at(names, F.upper(zone)))
     )
 
 
+def _in_zone(local: Column, naive_tz: str) -> Column:
+    return F.convert_timezone(F.lit(naive_tz), F.current_timezone(), local).cast("timestamp")
+
+
 def parse_ts(text: Column, naive_tz: str = "UTC") -> Column:
     """Instant for ISO 8601, ``DD.MM.YYYY [HH:MM[:SS]]`` and ``YYYY/MM/DD``; NULL otherwise.
 
-    A dotted date is always day-first. Text without an offset is read in ``naive_tz``, whatever
-    the time zone of the session is.
+    A dotted date is always day-first. A time may be followed by an offset, an abbreviation of
+    :data:`ABBREVIATIONS` or the name of a region; text with a zone that is not understood is no
+    instant. Text without a zone is read in ``naive_tz``, whatever the session's zone is.
     """
-    def instant(iso: Column) -> Column:
-        local = iso.try_cast("timestamp_ntz")
-        shifted = F.convert_timezone(F.lit(naive_tz), F.current_timezone(), local)
-        return F.when(iso.rlike(_ZONED), iso.try_cast("timestamp")).otherwise(
-            shifted.cast("timestamp")
-        )
-
-    return _by_spelling(text, instant)
+    trimmed, iso = F.btrim(text), _iso(text)
+    zone, local = _zone(iso), _local(iso)
+    zoned = F.concat(local.cast("string"), F.lit(" "), zone)
+    return (
+        F.when(trimmed.rlike(_PLAIN_LOCAL), _in_zone(trimmed.try_cast("timestamp_ntz"), naive_tz))
+        .when(trimmed.rlike(_PLAIN_ZONED), trimmed.try_cast("timestamp"))
+        .when(zone == "none", _in_zone(local, naive_tz))
+        .otherwise(zoned.try_cast("timestamp"))
+    )
 
 
 def parse_date(text: Column) -> Column:
-    """Calendar date as written (an offset does not move it); NULL if it is not a date."""
-    return _by_spelling(text, lambda iso: iso.try_cast("date"))
+    """Calendar date as written (an offset does not move it); NULL if it is not a date.
+
+    After the day only a valid time may follow, with a zone that :func:`parse_ts` understands.
+    """
+    trimmed, iso = F.btrim(text), _iso(text)
+    return (
+        F.when(trimmed.rlike(r"^\d{4}-\d{2}-\d{2}$"), trimmed.try_cast("date"))
+        .when(_zone(iso).isNotNull(), _local(iso).cast("date"))
+    )
+
+
+def local_date(instant: Column, naive_tz: str = "UTC") -> Column:
+    """Calendar date of an instant in ``naive_tz``, whatever the session's zone is."""
+    local = F.convert_timezone(
+        F.current_timezone(), F.lit(naive_tz), instant.cast("timestamp_ntz")
+    )
+    return local.cast("date")
 
 
 def day(as_of: datetime.date | str | Column | None) -> Column:

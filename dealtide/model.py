@@ -204,7 +204,7 @@ _TABLES = (
     ),
     _table(
         "marketing_costs",
-        "cost_id:long! cost_date:date! source_id:text campaign:text cost_amount:money!"
+        "cost_id:text! cost_date:date! source_id:text campaign:text cost_amount:money!"
         " currency:text",
         "cost_id",
         references={"source_id": "sources"},
@@ -212,7 +212,7 @@ _TABLES = (
     ),
     _table(
         "rejects",
-        "reject_id:long! logged_at:ts! run_id:text! severity:text! source_table:text!"
+        "reject_id:text! logged_at:ts! run_id:text! severity:text! source_table:text!"
         " record_key:text rule_id:text! reason:text! raw_data:text",
         "run_id reject_id",
         domains={"severity": SEVERITIES},

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealtide.functions import blank_to_null, convert, parse_ts, row_json
+from dealtide.functions import blank_to_null, convert, local_date, parse_ts, row_json
 from dealtide.model import TABLES
 from dealtide.operators.duplicates import add_id
 
@@ -100,7 +100,10 @@ def annotate(
         if not isinstance(value, Parsed):
             typed[column] = value.cast(to)
         elif value.as_instant or isinstance(to, T.TimestampType):
-            typed[column] = F.when(stays, parse_ts(value.text, naive_tz).cast(to))
+            instant = parse_ts(value.text, naive_tz)
+            # The day is that of the zone in which the text was read, not of the session's.
+            read = instant if isinstance(to, T.TimestampType) else local_date(instant, naive_tz)
+            typed[column] = F.when(stays, read.cast(to))
             unread = stays & result.isNull() & blank_to_null(F.btrim(value.text)).isNotNull()
             text = F.concat(F.lit(f"{column} is not a date: "), value.text)
             notes.append(_note("TS_UNPARSED", "warning", unread, text))

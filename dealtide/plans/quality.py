@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealtide.functions import day, phone_number
+from dealtide.functions import day, local_date, phone_number
 from dealtide.model import UNKNOWN_STAGE
 from dealtide.operators.unions import union_all
 from dealtide.plans.reports import Day
@@ -66,10 +66,11 @@ def negative_payments(tables: Tables) -> DataFrame:
 # ---- dates --------------------------------------------------------------------------------
 
 
-def facts_after_close(tables: Tables) -> DataFrame:
-    """Production finished or goods shipped after the deal was closed."""
+def facts_after_close(tables: Tables, naive_tz: str = "UTC") -> DataFrame:
+    """Production finished or goods shipped after the day on which, in ``naive_tz``, the deal was
+    closed."""
     closed = tables["deals"].filter(F.col("closed_at").isNotNull()).select(
-        "deal_id", F.col("closed_at").cast("date").alias("closed_on")
+        "deal_id", local_date(F.col("closed_at"), naive_tz).alias("closed_on")
     )
     facts = _dated(tables, "actual_finish_at", "actual_date", "happened_on").filter(
         F.col("happened_on").isNotNull()

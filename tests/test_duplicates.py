@@ -4,6 +4,7 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
+from dealtide.operators import duplicates
 from dealtide.operators.duplicates import add_id, keep_first, mark_duplicates
 
 SCHEMA = "k string, v int, t string"
@@ -102,3 +103,53 @@ def test_ids_do_not_depend_on_order_or_partitions(spark):
     many = spark.createDataFrame(sorted(data, key=str), SCHEMA).repartition(9)
     columns = ["k", "v", "t"]
     assert rows(add_id(one, "id", columns)) == rows(add_id(many, "id", columns))
+
+
+@pytest.mark.parametrize("hot_rows,max_keys", ROUTES.values(), ids=ROUTES.keys())
+def test_ids_are_the_same_on_every_route_and_for_any_partitions(spark, hot_rows, max_keys):
+    data = table(4)
+    columns = ["k", "v", "t"]
+    plain = rows(add_id(spark.createDataFrame(data, SCHEMA), "id", columns))
+    assert len({r[0] for r in plain}) == len(data) and all(len(r[0]) == 32 for r in plain)
+    for partitions in (1, 4, 9):
+        df = spark.createDataFrame(data, SCHEMA).repartition(partitions)
+        assert rows(add_id(df, "id", columns, hot_rows=hot_rows, max_keys=max_keys)) == plain
+
+
+def test_ids_of_some_columns_do_not_depend_on_partitions(spark):
+    """Rows of a hot content that differ in the other columns."""
+    data = [("hot", n % 7, f"t{n % 50}") for n in range(300)]
+    df = spark.createDataFrame(data, SCHEMA)
+    plain = rows(add_id(df, "id", ["k"]))
+    assert len({r[0] for r in plain}) == 300
+    for partitions in (1, 4, 9):
+        hot = rows(add_id(df.repartition(partitions), "id", ["k"], hot_rows=20))
+        assert {r[0] for r in hot} == {r[0] for r in plain}
+        assert hot == rows(add_id(df.coalesce(1), "id", ["k"], hot_rows=20))
+
+
+def test_hot_rows_of_one_task_are_spread(spark):
+    data = [("hot", n, "different") for n in range(10_000)] + [("hot", -1, "same")] * 5_000
+    df = spark.createDataFrame(data, SCHEMA).coalesce(1)
+    spread = duplicates._Repeated(df, ["k"], 100, 1000).spread()
+    assert spread.filter("t = 'same'").count() == 1
+    assert spread.groupBy("k", "_salt").count().agg(F.max("count")).first()[0] <= 200
+
+
+def test_many_copies_are_made_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(duplicates, "COPIES_AT_ONCE", 10)
+    counted = spark.createDataFrame([("a", 95), ("b", 1)], "k string, _copies bigint")
+    copies = duplicates._with_copies(counted, 10)
+    assert rows(copies) == sorted([("a", n) for n in range(1, 96)] + [("b", 1)], key=str)
+
+
+@pytest.mark.parametrize("hot_rows", [1000, 5])
+def test_rows_without_a_repeated_key_pass_through(spark, hot_rows):
+    df = spark.createDataFrame(table(6), SCHEMA)
+    plan = plan_of(mark_duplicates(df, ["k"], prefer(), hot_rows=hot_rows))
+    lines = plan.splitlines()
+    union = next(n for n, line in enumerate(lines) if "Union" in line)
+    assert not any(w in line for line in lines[:union] for w in ("Window", "Exchange"))
+    anti = next(n for n, line in enumerate(lines) if "LeftAnti" in line)
+    others = lines[anti:]
+    assert not any("Exchange hashpartitioning" in line for line in others)

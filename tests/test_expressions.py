@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealtide.functions import (
-    blank_to_null, convert, parse_date, parse_ts, phone_number, row_json, source_key, source_name,
+    blank_to_null, convert, local_date, parse_date, parse_ts, phone_number, row_json, source_key,
+    source_name,
 )
 from dealtide.functions.keys import LATIN
 
@@ -47,6 +48,69 @@ def test_parse_ts(spark):
     assert [g[0] for g in got] == [e for _, e in UTC_TIMES]
 
 
+ZONES = [
+    # text, instant in UTC, the same with naive_tz +05:00
+    ("2026-06-01 09:14:58 UTC", "2026-06-01 09:14:58", "2026-06-01 09:14:58"),
+    ("2026-06-01 09:14:58 EST", "2026-06-01 14:14:58", "2026-06-01 14:14:58"),
+    ("2026-06-01 09:14:58 msk", "2026-06-01 06:14:58", "2026-06-01 06:14:58"),
+    ("2026-06-01 09:14:58+05", "2026-06-01 04:14:58", "2026-06-01 04:14:58"),
+    ("2026-06-01 09:14:58 +0530", "2026-06-01 03:44:58", "2026-06-01 03:44:58"),
+    ("2026-06-01T09:14+05:00", "2026-06-01 04:14:00", "2026-06-01 04:14:00"),
+    ("2026-06-01T09:14Z", "2026-06-01 09:14:00", "2026-06-01 09:14:00"),
+    ("01.06.2026 09:14 MSK", "2026-06-01 06:14:00", "2026-06-01 06:14:00"),
+    ("2026/06/01 09:14:58.25 Europe/Riga", "2026-06-01 06:14:58", "2026-06-01 06:14:58"),
+    ("2026-06-01 09:14:58", "2026-06-01 09:14:58", "2026-06-01 04:14:58"),
+    ("2026-06-01 9:14", "2026-06-01 09:14:00", "2026-06-01 04:14:00"),
+    ("2026-06-01", "2026-06-01 00:00:00", "2026-05-31 19:00:00"),
+    # No zone that is understood, or no time at all.
+    ("2026-06-01 09:14:58 UTC+05:00", None, None),
+    ("2026-06-01 09:14:58 GMT+3", None, None),
+    ("2026-06-01 09:14:58 XYZ", None, None),
+    ("2026-06-01 09:14:58 No/Where", None, None),
+    ("2026-06-01 25:14:58", None, None),
+    ("2026-06-01 09:14:58 +05:00 x", None, None),
+    ("2026-06-01 garbage", None, None),
+    ("2026-06-01Z", None, None),
+]
+
+
+@pytest.mark.parametrize("zone,place", [("UTC", 1), ("+05:00", 2)])
+def test_zones_are_never_dropped(spark, zone, place):
+    got = evaluate(spark, [t[0] for t in ZONES],
+                   F.date_format(parse_ts(F.col("t"), zone), "yyyy-MM-dd HH:mm:ss"))
+    assert [g[0] for g in got] == [t[place] for t in ZONES]
+
+
+DAYS = [
+    ("2026-06-01", True), (" 2026-6-1 ", True), ("01.06.2026", True), ("2026/06/01", True),
+    ("2026-06-01T23:59:59-11:00", True), ("01.06.2026 09:14", True),
+    ("2026-06-01 09:14:58 EST", True), ("2026-06-01 garbage", False),
+    ("2026-06-01Tgarbage", False), ("14.06.2026 nonsense", False), ("2026-06-01 24:99", False),
+    ("2026-06-01 09:14:58 nonsense", False), ("2026-06-31", False), ("2026-06-012", False),
+]
+
+
+def test_only_a_valid_time_may_follow_a_date(spark):
+    got = evaluate(spark, [t for t, _ in DAYS], parse_date(F.col("t")))
+    assert [g[0] for g in got] == [datetime.date(2026, 6, 1) if ok else None for _, ok in DAYS]
+    for text, ok in DAYS:
+        if not ok:
+            with pytest.raises(Exception, match="not a valid date"):
+                evaluate(spark, [text], convert(F.col("t"), T.DateType()))
+
+
+@pytest.mark.parametrize("session", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("zone", ["UTC", "+05:00", "-08:00"])
+def test_the_day_of_an_instant_is_that_of_its_zone(spark, session, zone):
+    texts = ["2026-06-15", "2026/06/15", "15.06.2026 23:30", "2026-06-15 00:10:00"]
+    spark.conf.set("spark.sql.session.timeZone", session)
+    try:
+        got = evaluate(spark, texts, local_date(parse_ts(F.col("t"), zone), zone))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [g[0] for g in got] == [datetime.date(2026, 6, 15)] * 4
+
+
 def test_naive_text_is_read_in_the_given_zone_and_not_in_that_of_the_session(spark):
     texts = ["14.06.2025 09:20", "2025-06-14T09:20:00Z"]
     expected = [1749874800, 1749892800]  # 04:20 UTC and 09:20 UTC
