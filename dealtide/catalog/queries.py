@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealtide.catalog.feed import base, main_feed, raw_feed
+from dealtide.catalog.feed import base, broken_feed, main_feed, raw_feed
 from dealtide.functions import parse_date, parse_ts, source_key
 from dealtide.operators import expectations
 from dealtide.operators.duplicates import keep_first, mark_duplicates
@@ -23,7 +23,7 @@ from dealtide.operators.references import (
 from dealtide.operators.unions import union_all
 from dealtide.plans import quality, reports
 from dealtide.plans.refresh import Cleaned, refresh
-from dealtide.session import prepare, shared_folder
+from dealtide.session import prepare, shared_folder, store
 from dealtide.sources.exports import read_raw
 from dealtide.sources.snapshot import SnapshotWriter, read_manifest, read_snapshot
 
@@ -32,7 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 AS_OF_DELAYS = "2001-12-01"
-AS_OF_EVENTS = "2024-01-31"
+AS_OF_EVENTS = "2024-02-07"
 PERIOD = ("1997-01-01", "1999-01-01")
 
 
@@ -243,7 +243,7 @@ def clean_duplicate_lines(spark, sf_dir):
 def clean_dedupe_sku(spark, sf_dir):
     """One part per name and brand: parts in returned lines first, then the smallest key."""
     parts = base(spark, sf_dir, "part").withColumn("sku", F.concat("p_name", F.lit("|"), "p_brand"))
-    returned = base(spark, sf_dir, "lineitem").filter("l_returnflag = 'R' AND l_quantity > 45")
+    returned = base(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
     parts = mark_known(parts, "p_partkey", parent_keys(returned, "l_partkey"), "referenced")
     first = [F.col("referenced").desc(), F.col("p_partkey").asc()]
     return keep_first(parts, ["sku"], first).select("p_partkey", "sku", "referenced")
@@ -319,24 +319,24 @@ def journal_rules(spark, sf_dir):
 
 @query
 def journal_detail(spark, sf_dir):
-    """Defects of deals, contacts, companies and products, one by one, with their source row."""
-    found = _cleaned(spark, sf_dir).entries("deals", "contacts", "companies", "products")
+    """Defects of all raw tables, one by one, with their source row."""
+    found = _cleaned(spark, sf_dir).entries(*JOURNALLED)
     return found.select("severity", "source_table", "record_key", "rule_id", "raw_data")
 
 
 @query
 def journal_errors(spark, sf_dir):
-    """Only the errors: rows of payments and production orders that were dropped."""
-    tables = _journal_tables(spark, sf_dir, "payments", "production_orders", "activities")
+    """Only the errors: the rows of all raw tables that were dropped for one."""
+    tables = _journal_tables(spark, sf_dir, *JOURNALLED)
     return reports.defect_detail(tables, severity="error").drop("reason")
 
 
 @query
 def journal_ids(spark, sf_dir):
     """Journal ids are distinct, also those of equal entries."""
-    found = _cleaned(spark, sf_dir).entries("stage_history")
+    found = _cleaned(spark, sf_dir).entries(*JOURNALLED)
     log = journal(found, "run")
-    return log.groupBy("severity", "rule_id").agg(
+    return log.groupBy("source_table", "rule_id").agg(
         F.count("*").alias("entry_count"), F.countDistinct("reject_id").alias("id_count")
     )
 
@@ -347,7 +347,7 @@ def journal_ids(spark, sf_dir):
 @query
 def expect_checks(spark, sf_dir):
     """Broken constraints of the typed tables, one row per constraint."""
-    return expectations.check(main_feed(spark, sf_dir).load_all())
+    return expectations.check(broken_feed(spark, sf_dir).load_all())
 
 
 @query
@@ -368,13 +368,17 @@ def expect_reference_violations(spark, sf_dir):
 
 @query
 def expect_quarantine(spark, sf_dir):
-    """Users after quarantine, and the findings that dropped the others."""
-    tables = main_feed(spark, sf_dir)
-    rows = expectations.quarantine(tables["users"], "users", tables)
-    found = entries(rows, "users").select("record_key", "rule_id")
-    return rows.select("user_id", "role", F.col("_dropped").alias("dropped")).join(
-        found, F.col("user_id") == F.col("record_key"), "left"
-    ).drop("record_key")
+    """Findings that dropped rows of all broken tables, by rule, and the rows that stay."""
+    tables = broken_feed(spark, sf_dir).load_all()
+    counts = []
+    for name in tables:
+        rows, _ = store(expectations.quarantine(tables[name], name, tables))
+        stay = rows.filter("NOT _dropped").withColumn("rule_id", F.lit("stays"))
+        for found in (entries(rows, name).select("rule_id"), stay.select("rule_id")):
+            counts.append(found.groupBy(F.lit(name).alias("table_name"), "rule_id").agg(
+                F.count("*").alias("row_count")
+            ))
+    return union_all(counts)
 
 
 # ---- reports ------------------------------------------------------------------------------

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealtide.operators.duplicates import MAX_BROADCAST_KEYS, is_small, key_size
+from dealtide.operators.unions import union_all
 from dealtide.session import store
 
 
@@ -40,26 +41,68 @@ def mark_known(df: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFr
     return joined.select(*df.columns, F.col("_found").isNotNull().alias(flag))
 
 
+class Lookup:
+    """Which values of some columns have a parent? Looked up once, from the rows as they come in.
+
+    ``references``: (column, keys of its parent, name of the flag). The values of all columns are
+    counted in one pass over these columns, and those without a parent are stored with their size.
+    :meth:`mark` then flags any rows with these columns, also after the rows were ranked or joined.
+
+    If the values without a parent are few they are broadcast, and the rows stay where they are.
+    Otherwise the rows are joined with the parent keys after all; these are stored before, because
+    AQE splits hot partitions only if both sides come straight from a shuffle.
+    """
+
+    def __init__(
+        self, df: DataFrame, references: Sequence[tuple[str, DataFrame, str]],
+        max_keys: int = MAX_BROADCAST_KEYS,
+    ):
+        self._keys = {column: keys for column, keys, _ in references}
+        self._flags = {column: flag for column, _, flag in references}
+        counts = values_of(df, list(self._keys))
+        lost = union_all([
+            counts.filter(F.col("column_name") == column).join(
+                keys.select(F.col(keys.columns[0]).alias("value")), "value", "left_anti"
+            )
+            for column, keys in self._keys.items()
+        ]).select("column_name", "value")
+        sizes = [m for c in self._keys for m in key_size(["value"], f"{c}_", F.col("column_name") == c)]
+        self._lost, self._measured = store(lost, *sizes)
+        self._max_keys = max_keys
+
+    def mark(self, df: DataFrame) -> DataFrame:
+        """``df`` with all flags."""
+        for column, flag in self._flags.items():
+            df = self._mark(df, column, flag)
+        return df
+
+    def _mark(self, df: DataFrame, column: str, flag: str) -> DataFrame:
+        if not self._measured[f"{column}_keys"]:
+            return df.withColumn(flag, F.col(column).isNotNull())
+        if not is_small(self._measured, self._max_keys, f"{column}_"):
+            stored, _ = store(self._keys[column])
+            return mark_known(df, column, stored, flag)
+        lost = self._lost.filter(F.col("column_name") == column).select("value", F.lit(True).alias("_missing"))
+        joined = df.join(F.broadcast(lost), F.col(column) == F.col("value"), "left")
+        found = F.col(column).isNotNull() & F.col("_missing").isNull()
+        return joined.select(*df.columns, found.alias(flag))
+
+
+def values_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, rows) of several columns in one pass. NULL is no value.
+
+    Combined before the shuffle, so that a hot value travels as one row of each task.
+    """
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
+    listed = df.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    return listed.groupBy("column_name", "value").agg(F.count("*").alias("rows"))
+
+
 def mark_known_by_exceptions(
     df: DataFrame, column: str, keys: DataFrame, flag: str, max_keys: int = MAX_BROADCAST_KEYS
 ) -> DataFrame:
-    """The same for a large parent that nearly all rows refer to.
-
-    The values without a parent are looked up first, in one pass over that column alone, and
-    stored with their size. If they are few they are broadcast, and the rows of ``df`` stay where
-    they are. Otherwise the rows are joined with the parent keys after all; these are stored
-    before, because AQE splits hot partitions only if both sides come straight from a shuffle.
-    """
-    missing, measured = store(unmatched(df, column, keys).select("value"), *key_size(["value"]))
-    if not measured["keys"]:
-        return df.withColumn(flag, F.col(column).isNotNull())
-    if not is_small(measured, max_keys):
-        stored, _ = store(keys)
-        return mark_known(df, column, stored, flag)
-    missing = F.broadcast(missing.withColumn("_missing", F.lit(True)))
-    joined = df.join(missing, F.col(column) == F.col("value"), "left")
-    found = F.col(column).isNotNull() & F.col("_missing").isNull()
-    return joined.select(*df.columns, found.alias(flag))
+    """As :func:`mark_known`, for a large parent that nearly all rows refer to: see :class:`Lookup`."""
+    return Lookup(df, [(column, keys, flag)], max_keys).mark(df)
 
 
 def rows_with(

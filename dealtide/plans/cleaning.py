@@ -15,7 +15,9 @@ from dealtide.functions import blank_to_null, parse_ts, source_key, source_name
 from dealtide.model import EXACT, RAW_COLUMNS, TABLES, UNKNOWN_STAGE, UNKNOWN_STAGE_ROW
 from dealtide.operators.duplicates import add_id, mark_duplicates
 from dealtide.operators.findings import Finding, Parsed, annotate
-from dealtide.operators.references import mark_known, mark_known_by_exceptions, parent_keys
+from dealtide.operators.references import (
+    Lookup, mark_known, mark_known_by_exceptions, parent_keys,
+)
 
 
 @dataclass(frozen=True)
@@ -218,10 +220,10 @@ def _with_deal(raw: DataFrame, deals: DataFrame) -> DataFrame:
 def deal_products(
     raw: DataFrame, deals: DataFrame, products: DataFrame, options: Options = DEFAULTS
 ) -> DataFrame:
-    rows = _with_deal(raw, deals)
-    rows = mark_known_by_exceptions(
-        rows, "product_id", parent_keys(products, "product_id"), "_product"
-    )
+    rows = Lookup(raw, [
+        ("deal_id", parent_keys(deals, "deal_id"), "_deal"),
+        ("product_id", parent_keys(products, "product_id"), "_product"),
+    ]).mark(raw)
     no_deal = F.col("deal_id").isNotNull() & ~F.col("_deal")
     no_product = F.col("product_id").isNotNull() & ~F.col("_product")
     values = {
@@ -275,8 +277,9 @@ def stage_history(
     raw: DataFrame, deals: DataFrame, stages: DataFrame, options: Options = DEFAULTS
 ) -> DataFrame:
     """Stage changes, one row per event. Copies of an orphan event are all journalled as such."""
+    orphans = Lookup(raw, [("deal_id", parent_keys(deals, "deal_id"), "_deal")])
     rows = mark_duplicates(raw, ["event_id"], [F.col("changed_at").asc_nulls_last()])
-    rows = _with_deal(rows, deals)
+    rows = orphans.mark(rows)
     known = parent_keys(stages, "stage_id")
     rows = mark_known(rows, "old_stage_id", known, "_old_known")
     rows = mark_known(rows, "new_stage_id", known, "_new_known")

@@ -13,7 +13,7 @@ from dealtide.operators import expectations
 from dealtide.operators.findings import accepted, entries, journal
 from dealtide.operators.unions import union_all
 from dealtide.plans import cleaning
-from dealtide.session import prepare, store
+from dealtide.session import prepare, size_shuffles, store, stored_until_done
 from dealtide.sources.snapshot import SnapshotWriter
 
 Tables = Mapping[str, DataFrame]
@@ -100,6 +100,8 @@ LEVELS = (
     ("deal_products", "payments", "activities", "stage_history", "production_orders", "shipments"),
 )
 JOBS_AT_ONCE = 4
+#: Bytes that a shuffle of a whole table takes, for each byte of the stored table.
+SHUFFLED_PER_STORED = 4
 
 
 def refresh(
@@ -115,7 +117,8 @@ def refresh(
     """Build everything into a new run folder below ``folder`` and return that folder.
 
     Annotated rows are written to the shared folder first: the accepted rows, the journal and all
-    later tables read them from there instead of repeating the joins and windows. With
+    later tables read them from there instead of repeating the joins and windows. These tables are
+    deleted at the end. A ``run_id`` can be used once. With
     ``constraints='fail'`` a broken constraint leaves the run without a manifest; with
     ``'quarantine'`` the rows that break one are dropped and journalled.
     """
@@ -140,14 +143,15 @@ def refresh(
             rows = accepted(checked)
         main[table] = out.write("main", table, rows)
 
-    with ThreadPoolExecutor(JOBS_AT_ONCE) as jobs:
+    with stored_until_done(spark), ThreadPoolExecutor(JOBS_AT_ONCE) as jobs:
         raw = dict(jobs.map(lambda item: (item[0], out.write("raw", *item)), raw.items()))
+        size_shuffles(spark, SHUFFLED_PER_STORED * out.largest_bytes())
         for level in LEVELS:
             list(jobs.map(build, level))
             if constraints == "fail":
                 expectations.enforce(main, level)
-    log = journal(union_all(found), run_id, logged_at)
-    main["rejects"] = out.write("main", "rejects", log)
-    expectations.enforce(main, ["rejects"])
-    out.finish()
+        log = journal(union_all(found), run_id, logged_at)
+        main["rejects"] = out.write("main", "rejects", log)
+        expectations.enforce(main, ["rejects"])
+        out.finish()
     return out.folder

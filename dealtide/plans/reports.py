@@ -39,13 +39,15 @@ def _period(df: DataFrame, column: str, start: Day, end: Day) -> DataFrame:
     return df
 
 
-def deal_economics(tables: Tables) -> DataFrame:
+def deal_economics(tables: Tables, deals: DataFrame | None = None) -> DataFrame:
     """Revenue and cost of the deals that have lines: ``(deal_id, revenue, cost, margin)``.
 
-    The discount is an amount per line, not a percentage.
+    The discount is an amount per line, not a percentage. ``deals``: only lines of these are priced.
     """
     lines = tables["deal_products"].select("deal_id", "product_id", "quantity", "unit_price",
                                            "discount")
+    if deals is not None:
+        lines = lines.join(deals.select("deal_id"), "deal_id", "left_semi")
     costs = tables["products"].select("product_id", "cost_price")
     return (
         lines.join(costs, "product_id")
@@ -85,6 +87,7 @@ def managers(
     deals without a manager.
     """
     deals = _period(tables["deals"], "created_at", start, end)
+    filtered = won or start is not None or end is not None
     if won:
         success = tables["pipeline_stages"].filter("is_success").select("stage_id")
         deals = deals.join(success, "stage_id", "left_semi")
@@ -92,7 +95,7 @@ def managers(
         deals = deals.filter(F.col("manager_id").isNotNull())
     by_manager = (
         deals.select("deal_id", "manager_id")
-        .join(deal_economics(tables), "deal_id", "left")
+        .join(deal_economics(tables, deals if filtered else None), "deal_id", "left")
         .groupBy("manager_id")
         .agg(
             F.count("deal_id").alias("deals_count"),
@@ -214,10 +217,11 @@ def lead_sources(
     ``net / marketing_cost``, NULL without costs.
     """
     deals = _period(tables["deals"], "created_at", start, end)
+    filtered = start is not None or end is not None
     by_source = (
         deals.filter(F.col("source_id").isNotNull())
         .select("deal_id", "source_id")
-        .join(deal_economics(tables), "deal_id", "left")
+        .join(deal_economics(tables, deals if filtered else None), "deal_id", "left")
         .groupBy("source_id")
         .agg(
             F.count("deal_id").alias("deals_count"),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -62,18 +65,58 @@ def size_shuffles(
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a session in one process (``local`` or ``local[n]``) without that setting gets a temporary
+    folder of its own. (A ``file:`` path in the setting may be a mount that all machines share.)
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     folder = tempfile.mkdtemp(prefix="dealtide-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+#: Setting of the session: the folder of the tables that the work in progress stores.
+_SCOPE = "dealtide.tables"
+
+
+def _file_system(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    path, files = _file_system(spark, path)
+    return files.exists(path)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    path, files = _file_system(spark, path)
+    return files.getContentSummary(path).getLength()
+
+
+@contextmanager
+def stored_until_done(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`store` writes inside are deleted at the end.
+
+    For work that writes its result elsewhere. One such piece of work at a time in a session.
+    """
+    folder = f"{shared_folder(spark)}/dealtide-tables/work-{uuid.uuid4().hex}"
+    before = spark.conf.get(_SCOPE, None)
+    spark.conf.set(_SCOPE, folder)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SCOPE)
+        else:
+            spark.conf.set(_SCOPE, before)
+        path, files = _file_system(spark, folder)
+        files.delete(path, True)
+
+
 def store(df: DataFrame, *measures: Column) -> tuple[DataFrame, dict]:
     """Write an intermediate table to the shared folder, and measure it while it is written.
 
@@ -81,7 +124,8 @@ def store(df: DataFrame, *measures: Column) -> tuple[DataFrame, dict]:
     executor is lost), and the values of the aggregates ``measures``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/dealtide-tables/{uuid.uuid4().hex}"
+    folder = spark.conf.get(_SCOPE, None) or f"{shared_folder(spark)}/dealtide-tables"
+    path = f"{folder}/{uuid.uuid4().hex}"
     seen = Observation()
     measures = measures or (F.count(F.lit(1)).alias("rows"),)
     df.observe(seen, *measures).write.parquet(path)

@@ -10,14 +10,14 @@ from dealtide.model import RAW_COLUMNS, raw_schema
 
 
 def read_raw(
-    spark: SparkSession, path: str, table: str, multiline: bool = True, strict: bool = True
+    spark: SparkSession, path: str, table: str, multiline: bool = False, strict: bool = True
 ) -> DataFrame:
     """One raw table from a CSV file or a folder of CSV files.
 
     An unquoted empty field is NULL, a quoted one the empty string. A file with another header
     fails. ``strict`` also fails on rows with too few or too many fields; otherwise missing ones
-    are NULL. Fields may hold line breaks unless ``multiline`` is off; only then does Spark split
-    large files, so turn it off for big files that are known to have none.
+    are NULL. A field with a line break needs ``multiline``, which makes one task of each file;
+    without it large files are split, and such a field leaves rows too short, which ``strict`` finds.
     """
     return (
         spark.read.schema(raw_schema(table))

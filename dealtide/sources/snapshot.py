@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dealtide.session import path_bytes, path_exists
+
 _MANIFEST = "_manifest"
 _MANIFEST_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
@@ -23,21 +25,27 @@ _MANIFEST_SCHEMA = T.StructType([
 
 
 def write_table(df: DataFrame, path: str) -> int:
-    """Write a table and return its number of rows, counted while writing."""
+    """Write a new table and return its number of rows, counted while writing."""
     seen = Observation()
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("overwrite").parquet(path)
+    rows.write.parquet(path)
     return seen.get["rows"]
 
 
 class SnapshotWriter:
-    """Writes the tables of one run; :meth:`finish` makes the snapshot valid."""
+    """Writes the tables of one run; :meth:`finish` makes the snapshot valid.
+
+    A run has a folder of its own. One that exists is refused: its manifest, if there is one, tells
+    about other tables.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, run_id: str):
         self.spark = spark
         self.folder = f"{folder.rstrip('/')}/{run_id}"
         self.run_id = run_id
         self._written: list[tuple] = []
+        if path_exists(spark, self.folder):
+            raise ValueError(f"{self.folder} exists: every run needs a run_id of its own")
 
     def write(self, layer: str, table: str, df: DataFrame) -> DataFrame:
         """Write a table, and read it back: what follows does not compute it again."""
@@ -46,9 +54,14 @@ class SnapshotWriter:
         self._written.append((self.run_id, layer, table, count, df.schema.json()))
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def largest_bytes(self) -> int:
+        """Size of the largest table that was written."""
+        sizes = [path_bytes(self.spark, f"{self.folder}/{w[1]}/{w[2]}") for w in self._written]
+        return max(sizes, default=0)
+
     def finish(self) -> None:
         manifest = self.spark.createDataFrame(self._written, _MANIFEST_SCHEMA)
-        manifest.coalesce(1).write.mode("overwrite").json(f"{self.folder}/{_MANIFEST}")
+        manifest.coalesce(1).write.json(f"{self.folder}/{_MANIFEST}")
 
 
 def read_manifest(spark: SparkSession, run_folder: str) -> DataFrame:

@@ -32,7 +32,7 @@ def spark(tmp_path_factory):
 def raw(spark):
     from dealtide.sources.exports import read_exports
 
-    return read_exports(spark, str(DATA))
+    return read_exports(spark, str(DATA), multiline=True)
 
 
 @pytest.fixture(scope="session")

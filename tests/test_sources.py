@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from conftest import rows
 
@@ -17,7 +19,7 @@ def write(tmp_path, text, name="products.csv"):
 
 def test_fields_are_text_as_written(spark, tmp_path):
     path = write(tmp_path, HEADER + '007,,"",\'x\', 1.50 ,"a ""b"", c\nd"\n')
-    assert rows(read_raw(spark, path, "products")) == [
+    assert rows(read_raw(spark, path, "products", multiline=True)) == [
         ("007", None, "", "'x'", " 1.50 ", 'a "b", c\nd')]
 
 
@@ -35,6 +37,14 @@ def test_rows_with_missing_fields_fail_unless_allowed(spark, tmp_path):
         ("1", "2", "3", None, None, None)]
 
 
+def test_a_line_break_in_a_field_is_never_misread(spark, tmp_path):
+    for row in ('1,"a\nb",c,d,e,f\n', '1,a,b,c,d,"e\nf"\n'):
+        path = write(tmp_path, HEADER + row)
+        assert len(rows(read_raw(spark, path, "products", multiline=True))) == 1
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_raw(spark, path, "products").collect()
+
+
 def test_a_folder_of_files_is_one_table(spark, tmp_path):
     folder = tmp_path / "products.csv"
     folder.mkdir()
@@ -79,3 +89,24 @@ def test_intermediate_tables_go_to_the_shared_folder(spark):
     stored, measured = store(spark.range(5))
     assert measured == {"rows": 5} and stored.count() == 5
     assert stored.inputFiles()[0].startswith(f"file://{shared_folder(spark)}")
+
+
+def test_a_run_id_is_used_once(spark, tmp_path):
+    out = SnapshotWriter(spark, str(tmp_path), "run")
+    out.write("main", "numbers", spark.range(5))
+    out.finish()
+    with pytest.raises(ValueError, match="exists"):
+        SnapshotWriter(spark, str(tmp_path), "run")
+    assert [r.row_count for r in read_manifest(spark, out.folder).collect()] == [5]
+
+
+def test_a_refresh_leaves_no_intermediate_tables(spark, raw, tmp_path):
+    from dealtide.plans.refresh import refresh
+
+    tables = Path(shared_folder(spark)) / "dealtide-tables"
+    before = {p.name for p in tables.glob("*")}
+    run = refresh(spark, raw, str(tmp_path), run_id="one")
+    assert {p.name for p in tables.glob("*")} == before
+    assert read_snapshot(spark, run, verify=True)["deals"].count() > 0
+    with pytest.raises(ValueError, match="exists"):
+        refresh(spark, raw, str(tmp_path), run_id="one")
