@@ -47,4 +47,4 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = mark
         edges = keep(_lowest(_lowest(edges, True), False))
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    return keep(roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 
 from dealtide.llm.components import components
 from dealtide.llm.tables import keep, plain_columns, prepare_python
-
-#: Values of the signature that the join works on (16 bits each), and the distance it guarantees.
-#: At similarity 0.8 a value differs with probability 0.2: 26 is more than 4 deviations above 12.8.
-JOINED, DISTANCE = 64, 26
-#: With 14 chunks, one chunk at least has no more than one of 26 errors.
-CHUNKS, ERRORS = 14, 1
-#: Further values (8 bits each) that sort out pairs before the exact check: of all 256, 80 may
-#: differ, 4.5 deviations above the 51.2 to be expected at similarity 0.8.
-CHECKED, ALL_DISTANCE = 192, 80
+from dealtide.operators.duplicates import is_small, key_size
+from dealtide.session import store
+
+#: Values of the signature that the join works on (16 bits each), its chunks, and the distance it
+#: guarantees: of 11 chunks, one at least has no more than one of 21 errors. At similarity 0.8 a
+#: value differs with probability 0.2, so 21 is 2.5 deviations above 12.8; pairs beyond are missed
+#: only if every chunk has two errors, with probability 0.00002.
+JOINED, CHUNKS, DISTANCE = 64, 11, 21
+#: Further values (8 bits each) that sort out pairs before the exact check: of all 160, 54 may
+#: differ, 4.4 deviations above the 32 to be expected at similarity 0.8.
+CHECKED, ALL_DISTANCE = 96, 54
 #: Rows of a bucket that are compared with each other in one go.
 BLOCK = 512
 #: Words hashed in one go.
@@ -118,42 +120,51 @@ def chunk_keys(joined: np.ndarray) -> np.ndarray:
     return mix(chunks[tables["chunk"]] - terms + tables["left_out"])
 
 
-_PRINT = "struct<n:bigint,print:binary,signature:binary,keys:array<bigint>>"
+_PRINT = "struct<n:bigint,print:binary,joined:binary,signature:binary>"
 
 
 def _fingerprints(size: int):
     @F.arrow_udf(_PRINT)
     def run(texts: pa.Array) -> pa.Array:
-        counts, prints, signatures, keys = [], [], [], []
+        counts, prints, indexed, signatures = [], [], [], []
         for text in texts:
             hashes = shingles(text.as_py() or b"", size)
             counts.append(len(hashes))
             prints.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
             if len(hashes):
                 joined, checked = signature(hashes)
-                signatures.append(joined.tobytes() + checked.tobytes())
-                keys.append(chunk_keys(joined).view(np.int64))
+                indexed.append(joined.tobytes())
+                signatures.append(joined.astype(np.uint8).tobytes() + checked.tobytes())
             else:
+                indexed.append(b"")
                 signatures.append(b"")
-                keys.append(np.zeros(0, np.int64))
-        offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-        flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
         return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary()),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-            names=["n", "print", "signature", "keys"],
+            [pa.array(counts, pa.int64()), pa.array(prints, pa.binary()), pa.array(indexed, pa.binary()),
+             pa.array(signatures, pa.binary())],
+            names=["n", "print", "joined", "signature"],
         )
 
     return run
 
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
+
+
+def _keys():
+    @F.arrow_udf("array<bigint>")
+    def run(signatures: pa.Array) -> pa.Array:
+        return _lists([chunk_keys(np.frombuffer(s.as_py(), np.uint16, JOINED)).view(np.int64) for s in signatures])
+
+    return run
+
+
 def _sets(size: int):
     @F.arrow_udf("array<bigint>")
     def run(texts: pa.Array) -> pa.Array:
-        sets = [shingles(t.as_py() or b"", size).view(np.int64) for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        return _lists([shingles(t.as_py() or b"", size).view(np.int64) for t in texts])
 
     return run
 
@@ -166,20 +177,17 @@ def _find(parent: list[int], x: int) -> int:
 
 
 def close_pairs(signatures: np.ndarray, sides: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """Index pairs i < j within both distances, and the distance over all values. ``sides``: only
-    pairs of rows of different sides, if there are two."""
-    joined = np.ascontiguousarray(signatures[:, : 2 * JOINED]).view(np.uint16)
-    checked = signatures[:, 2 * JOINED :]
+    """Index pairs i < j within ``ALL_DISTANCE``, and their distance. ``sides``: only pairs of rows
+    of different sides, if there are two."""
     out: list[tuple[np.ndarray, ...]] = []
     for i in range(len(signatures) - 1):
-        first = (joined[i + 1 :] != joined[i]).sum(axis=1)
-        near = np.flatnonzero(first <= DISTANCE)
+        others = np.arange(i + 1, len(signatures))
         if sides is not None:
-            near = near[sides[i + 1 + near] != sides[i]]
+            others = others[sides[others] != sides[i]]
+        far = (signatures[others] != signatures[i]).sum(axis=1)
+        near = np.flatnonzero(far <= ALL_DISTANCE)
         if len(near):
-            every = first[near] + (checked[i + 1 + near] != checked[i]).sum(axis=1)
-            fits = every <= ALL_DISTANCE
-            out.append((np.full(fits.sum(), i), i + 1 + near[fits], every[fits]))
+            out.append((np.full(len(near), i), others[near], far[near]))
     if not out:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
@@ -236,11 +244,35 @@ def _pairs(forest: bool):
     return run
 
 
-def _exact(pairs: DataFrame, texts: DataFrame, size: int, similarity: tuple[int, int]) -> DataFrame:
-    """The pairs whose whole sets are similar. ``texts``: node, text, once for each node."""
+def _few(df: DataFrame, key: str) -> DataFrame:
+    """A stored table with a key; broadcast only if it is small as measured."""
+    stored, measured = store(df, *key_size([key]))
+    return F.broadcast(stored) if is_small(measured) else stored
+
+
+class _Texts:
+    """The texts of nodes, read anew from the table for the few nodes that need a check."""
+
+    def __init__(self, df: DataFrame, text: str, identity: str, size: int, nodes: DataFrame):
+        given = F.encode(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), "UTF-8")
+        self.rows = df.select(F.col(f"`{identity}`").alias("id"), given.alias("text"))
+        self.size, self.nodes = size, nodes.select("node", "first")
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """node, set. A node's first row is found by its id, and known by its fingerprint."""
+        some = _few(self.nodes.join(wanted, "node", "left_semi"), "node")
+        found = self.rows.join(some, F.col("id").eqNullSafe(F.col("first")))
+        found = found.withColumn("made", _fingerprints(self.size)(F.col("text")))
+        texts = found.filter(F.col("made.print") == F.col("node")).groupBy("node").agg(
+            F.any_value("text").alias("text")
+        )
+        return keep(texts.select("node", _sets(self.size)(F.col("text")).alias("set")))
+
+
+def _exact(pairs: DataFrame, texts: _Texts, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs whose whole sets are similar."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    sets = keep(texts.join(wanted, "node", "left_semi").select("node", _sets(size)(text).alias("set")))
+    sets = texts.sets(wanted)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("one")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("set").alias("other")), "b"
     )
@@ -257,16 +289,18 @@ def near_duplicates(
     identity: str = "doc_id",
     size: int = 5,
     similarity: tuple[int, int] = (80, 100),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """All rows and columns, with n_shingles, component_id, kept and representative.
 
     Two texts are linked if their sets of ``size``-word shingles overlap by ``similarity`` (shared of
     all). ``component_id`` is the smallest id reachable over links; ``kept`` tells that it is the
     row's own; ``representative`` is one row of each component, also if ids repeat or are NULL.
+    ``columns``: those that are returned, all if not given; what is not returned is not stored.
 
     Equal sets are one node from the start, so copies cost nothing further. Nodes share a bucket if
-    a chunk of their signatures differs in one value at most: with 14 chunks this holds for
-    every pair at signature distance 26 or less. In a first pass each bucket proposes a spanning
+    a chunk of their signatures differs in one value at most: with 11 chunks this holds for
+    every pair at signature distance 21 or less. In a first pass each bucket proposes a spanning
     forest of its close pairs, which are checked on the whole sets; what is linked becomes one
     component. In a second pass all other close pairs between different components are checked, so
     that no link is lost; buckets that lie in one component, as those of large groups of copies now
@@ -274,37 +308,38 @@ def near_duplicates(
 
     A NULL or empty text, or one without words, has no shingles and is linked with nothing. Ids that
     are NULL are never the smallest; a component without any id has none. Columns of the names
-    added are replaced. Repeated rows are copies. An empty table gives an empty table.
+    added are replaced. Repeated rows are copies. An empty table gives an empty table. ``df`` is read
+    up to three times; store it if it is dear to compute.
     """
     added = ("n_shingles", "component_id", "kept", "representative")
     prepare_python(df.sparkSession)
     given = F.encode(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), "UTF-8")
+    returned = [c for c in (columns or df.columns) if c.lower() not in added]
     rows = keep(
         df.select(
-            F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in added]).alias("row"),
+            F.struct(*[F.col(f"`{c}`") for c in returned]).alias("row"),
             F.col(f"`{identity}`").alias("id"),
-            F.col(f"`{text}`").cast("string").alias("text"),
             F.xxhash64(*plain_columns(df)).alias("tie"),
             _fingerprints(size)(given).alias("made"),
-        ).select("row", "id", "text", "tie", "made.*")
+        ).select("row", "id", "tie", "made.*")
     )
     nodes = keep(
         rows.filter("n > 0").groupBy(F.col("print").alias("node")).agg(
             F.min("id").alias("first"), F.count("*").alias("copies"),
-            F.any_value("signature").alias("signature"), F.any_value("keys").alias("keys"),
+            F.any_value("joined").alias("joined"), F.any_value("signature").alias("signature"),
         )
     )
-    links = _links(rows, nodes, size, similarity)
-    roots = keep(components(links))
+    roots = _roots(nodes, _Texts(df, text, identity, size, nodes), similarity)
     named = nodes.join(roots, "node", "left").select("node", "first", "copies", "root")
     smallest = named.filter("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("component"))
     # Only groups need a name; a row that is alone is its own.
-    grouped = keep(
+    grouped = _few(
         named.filter("root IS NOT NULL").join(smallest, "root")
         .select("node", "component", "root")
         .unionByName(
             named.filter("root IS NULL AND copies > 1").select("node", F.col("first").alias("component"), F.col("node").alias("root"))
-        )
+        ),
+        "node",
     )
     joined = rows.select("row", "id", "tie", "n", "print").join(
         grouped, (F.col("print") == F.col("node")) & (F.col("n") > 0), "left"
@@ -328,40 +363,44 @@ def near_duplicates(
     )
 
 
-def _links(rows: DataFrame, nodes: DataFrame, size: int, similarity: tuple[int, int]) -> DataFrame:
-    entries = nodes.select(F.explode("keys").alias("key"), "node")
-    buckets = entries.groupBy("key").agg(
-        F.count("*").alias("size"),
-        F.bit_xor(F.xxhash64("node")).alias("who"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("who_else"),
-    ).filter("size > 1")
+def _members(nodes: DataFrame) -> DataFrame:
+    """key, node, signature, blocks: the nodes of each bucket that has several, and how many blocks
+    the bucket is compared in."""
+    # Few keys are shared, so entries travel as short as can be: the key, and a hash of the node.
+    short = F.xxhash64("node")
+    entries = nodes.select(F.explode(_keys()(F.col("joined"))).alias("key"), short.alias("short"))
+    repeated = entries.groupBy("key").count().filter("count > 1").select("key")
+    shared = keep(entries.join(repeated, "key", "left_semi"))
+    buckets = shared.groupBy("key").agg(
+        F.count("*").alias("size"), F.bit_xor("short").alias("who"),
+        F.bit_xor(F.xxhash64("short", F.lit(1))).alias("who_else"),
+    )
     # Copies share many buckets; of those with the same members one is enough.
     chosen = buckets.groupBy("size", "who", "who_else").agg(F.min("key").alias("key")).select("key", "size")
-    members = keep(
-        entries.join(chosen, "key")
-        .join(nodes.select("node", "signature"), "node")
+    return keep(
+        shared.join(chosen, "key")
+        .join(nodes.select("node", "signature", short.alias("short")), "short")
         .select("key", "node", "signature", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     )
-    block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")
-    # One copy of each text that may be needed.
-    firsts = nodes.select("node", "first")
-    texts = (
-        rows.filter("n > 0").select("id", "text", F.col("print").alias("node"))
-        .join(firsts, "node").filter(F.col("id").eqNullSafe(F.col("first")))
-        .groupBy("node").agg(F.any_value("text").alias("text"))
-    )
+
+
+def _proposed(placed: DataFrame, forest: bool) -> DataFrame:
+    """a, b: the pairs to be checked, of rows with key, the two blocks of a tile, and their own."""
     columns = ["key", "one", "other", "node", "root", "block", "signature"]
+    dealt = placed.repartition("key", "one", "other").sortWithinPartitions("key", "one", "other")
+    found = dealt.select(*columns).mapInArrow(_pairs(forest), "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def proposed(placed: DataFrame, forest: bool) -> DataFrame:
-        dealt = placed.repartition("key", "one", "other").sortWithinPartitions("key", "one", "other")
-        found = dealt.select(*columns).mapInArrow(_pairs(forest), "a binary, b binary")
-        return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+def _roots(nodes: DataFrame, texts: _Texts, similarity: tuple[int, int]) -> DataFrame:
+    """node, root: for every node that is linked, the node that stands for its component."""
+    members = _members(nodes)
+    block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")
     first = members.withColumn("block", block).withColumns(
         {"one": F.col("block"), "other": F.col("block"), "root": F.col("node")}
     )
-    tried = keep(proposed(first, True))
-    links = keep(_exact(tried, texts, size, similarity))
-    roots = components(links)
+    tried = keep(_proposed(first, True))
+    roots = components(_exact(tried, texts, similarity))
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # Buckets within one component are done.
     open_keys = rooted.groupBy("key").agg(
@@ -372,7 +411,15 @@ def _links(rows: DataFrame, nodes: DataFrame, size: int, similarity: tuple[int,
         rooted.join(open_keys, "key", "left_semi").withColumn("block", block).withColumn("with", tiles)
         .withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with"))
     )
-    rest = keep(proposed(second, False).join(tried, ["a", "b"], "left_anti"))
+    rest = keep(_proposed(second, False).join(tried, ["a", "b"], "left_anti"))
     if not rest.limit(1).count():
-        return links
-    return keep(links.unionByName(_exact(rest, texts, size, similarity)))
+        return roots
+    # What the second pass links is components, so their roots are joined.
+    linked = keep(_exact(rest, texts, similarity))
+    for end in ("a", "b"):
+        of = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        linked = linked.join(of, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    joined = components(linked.filter("root_a <> root_b"), "root_a", "root_b")
+    higher = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    lower = roots.join(higher, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return keep(lower.unionByName(joined.join(roots, "node", "left_anti").select("node", "root")))

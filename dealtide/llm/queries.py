@@ -74,7 +74,7 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, on shingles of four words."""
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return neardup.near_duplicates(documents, size=4).select("doc_id", "n_shingles", "component_id", "kept")
+    return neardup.near_duplicates(documents, size=4, columns=["doc_id"]).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
