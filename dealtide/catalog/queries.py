@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealtide.catalog.feed import base, broken_feed, main_feed, raw_feed
-from dealtide.functions import parse_date, parse_ts, source_key
+from dealtide.catalog.feed import awkward_field, base, broken_feed, main_feed, raw_feed
+from dealtide.functions import local_date, parse_date, parse_ts, source_key
+from dealtide.model import RAW_COLUMNS
 from dealtide.operators import expectations
 from dealtide.operators.duplicates import keep_first, mark_duplicates
 from dealtide.operators.findings import entries, journal
@@ -22,6 +23,7 @@ from dealtide.operators.references import (
 )
 from dealtide.operators.unions import union_all
 from dealtide.plans import quality, reports
+from dealtide.plans.cleaning import Options
 from dealtide.plans.refresh import Cleaned, refresh
 from dealtide.session import prepare, shared_folder, store
 from dealtide.sources.exports import read_raw
@@ -95,6 +97,25 @@ def clean_parse_events(spark, sf_dir):
     )
 
 
+@query
+def clean_parse_zones(spark, sf_dir):
+    """Order dates with zones in words and numbers, without seconds, and with unknown zones."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    spelled = (
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(day, F.lit(" 23:30:10 EST")))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.concat(day, F.lit("T01:15+05")))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(day, F.lit(" 01:15 msk")))
+        .when(F.col("o_orderpriority") == "5-LOW", F.concat(day, F.lit(" 01:15:00 GMT+3")))
+        .otherwise(F.concat(day, F.lit(" 1:15")))
+    )
+    return base(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        parse_ts(spelled, naive_tz="+05:00").alias("parsed"),
+        parse_date(spelled).alias("parsed_date"),
+        local_date(parse_ts(spelled, naive_tz="+05:00"), "+05:00").alias("local_day"),
+    )
+
+
 @query
 def clean_source_key(spark, sf_dir):
     """Source keys of names, of texts of any length, and of Cyrillic spellings."""
@@ -217,6 +238,34 @@ def clean_cost_ids(spark, sf_dir):
     )
 
 
+@query
+def clean_payments_local(spark, sf_dir):
+    """Payments whose dates are read in a zone of their own: the written day stays."""
+    options = Options(naive_tz="+05:00")
+    payments = Cleaned(raw_feed(spark, sf_dir), options)["payments"]
+    return payments.select("payment_id", "deal_id", "payment_date")
+
+
+@query
+def clean_quarantined_casts(spark, sf_dir):
+    """Production orders of which some have text behind a date: dropped and journalled."""
+    raw = raw_feed(spark, sf_dir)
+    orders = raw["production_orders"]
+    planned = F.col("planned_finish_at")
+    raw["production_orders"] = orders.withColumn(
+        "planned_finish_at",
+        F.when(F.col("workshop") == "Workshop 2", F.concat(planned, F.lit(" garbage")))
+        .when(F.col("workshop") == "Workshop 3", F.concat(planned, F.lit("T25:99")))
+        .otherwise(planned),
+    )
+    cleaned = Cleaned(raw, Options(on_cast_error="quarantine"))
+    stay = cleaned["production_orders"].groupBy(F.col("workshop").alias("name"))
+    found = cleaned.entries("production_orders").groupBy(F.col("rule_id").alias("name"))
+    return stay.agg(F.count("*").alias("row_count")).unionByName(
+        found.agg(F.count("*").alias("row_count"))
+    )
+
+
 # ---- operators on the tables as they are --------------------------------------------------
 
 
@@ -578,27 +627,30 @@ def quality_history_gaps(spark, sf_dir):
 
 @query
 def scan_exports(spark, sf_dir):
-    """Companies and payments written as CSV files and read back as raw tables."""
-    raw = raw_feed(spark, sf_dir)
+    """All raw tables written as CSV files and read back: with commas, quotes and line breaks inside
+    fields, and with both kinds of empty fields."""
+    raw = raw_feed(spark, sf_dir).load_all()
     folder = f"{shared_folder(spark)}/exports/{uuid.uuid4().hex}"
     rows = []
-    for table, key in (("companies", "company_id"), ("payments", "payment_id")):
+    for table in raw:
         path = f"{folder}/{table}.csv"
-        writer = raw[table].write.option("header", True).option("escape", '"')
+        last = RAW_COLUMNS[table][-1]
+        written = raw[table].withColumn(last, F.expr(awkward_field(table)))
+        writer = written.write.option("header", True).option("escape", '"')
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         writer.option("emptyValue", '""').csv(path)
-        read = read_raw(spark, path, table, multiline=False)
+        read = read_raw(spark, path, table, multiline=True)
         values = F.concat_ws("|", *[F.coalesce(c, F.lit("NULL")) for c in read.columns])
-        rows.append(read.select(F.lit(table).alias("table_name"), F.col(key).alias("record_key"),
-                                values.alias("row_values")))
-    return rows[0].unionByName(rows[1])
+        rows.append(read.select(F.lit(table).alias("table_name"), values.alias("row_values")))
+    return union_all(rows)
 
 
 @query
 def snapshot_manifest(spark, sf_dir):
-    """Products, users and stages written as a snapshot: counts of manifest and of tables."""
-    tables = main_feed(spark, sf_dir)
+    """All typed tables written as a snapshot: counts of manifest and of tables."""
+    tables = main_feed(spark, sf_dir).load_all()
     out = SnapshotWriter(spark, f"{shared_folder(spark)}/snapshots", uuid.uuid4().hex)
-    for table in ("products", "users", "pipeline_stages", "payments"):
+    for table in tables:
         out.write("main", table, tables[table])
     out.finish()
     stored = read_snapshot(spark, out.folder)
