@@ -25,6 +25,7 @@ HEADLINES = (
     "clean_payments", "clean_stage_history", "clean_duplicate_lines", "clean_orphans",
     "report_funnel", "report_managers", "report_receivables", "report_delays", "report_stale",
     "report_sources", "report_cleaned_managers", "quality_transitions", "quality_overdue",
+    "refresh_manifest", "expect_checks", "journal_summary",
 )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,12 +49,11 @@ def _local(iso: Column) -> Column:
     return F.concat(_part(iso, 1), F.coalesce(clock, F.lit(""))).try_cast("timestamp_ntz")
 
 
-def _zone(iso: Column) -> Column:
-    """The zone in a spelling that Spark reads: ``none`` if there is none, NULL if it is unknown.
+def _zone(zone: Column) -> Column:
+    """A zone in a spelling that Spark reads: ``none`` if there is none, NULL if it is unknown.
 
     ``UTC+05:00`` and the like are unknown: systems disagree about the sign.
     """
-    zone = _part(iso, 4)
     minutes = F.coalesce(F.nullif(F.regexp_extract(zone, _OFFSET, 3), F.lit("")), F.lit("00"))
     hours = F.lpad(F.regexp_extract(zone, _OFFSET, 2), 2, "0")
     offset = F.concat(F.regexp_extract(zone, _OFFSET, 1), hours, F.lit(":"), minutes)
@@ -66,6 +66,21 @@ def _zone(iso: Column) -> Column:
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used: else the generated code
+    would hold each of its regular expressions many times over."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _any_spelling(text: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the parts of a text: ``local``, day and time, and ``zone``."""
+    def parts(iso: Column) -> Column:
+        zone = _let(_part(iso, 4), _zone)
+        return _let(F.struct(_local(iso).alias("local"), zone.alias("zone")), body)
+
+    return _let(_iso(text), parts)
+
+
 def _in_zone(local: Column, naive_tz: str) -> Column:
     return F.convert_timezone(F.lit(naive_tz), F.current_timezone(), local).cast("timestamp")
 
@@ -77,14 +92,17 @@ def parse_ts(text: Column, naive_tz: str = "UTC") -> Column:
     :data:`ABBREVIATIONS` or the name of a region; text with a zone that is not understood is no
     instant. Text without a zone is read in ``naive_tz``, whatever the session's zone is.
     """
-    trimmed, iso = F.btrim(text), _iso(text)
-    zone, local = _zone(iso), _local(iso)
-    zoned = F.concat(local.cast("string"), F.lit(" "), zone)
+    def instant(read: Column) -> Column:
+        zoned = F.concat(read["local"].cast("string"), F.lit(" "), read["zone"])
+        return F.when(read["zone"] == "none", _in_zone(read["local"], naive_tz)).otherwise(
+            zoned.try_cast("timestamp")
+        )
+
+    trimmed = F.btrim(text)
     return (
         F.when(trimmed.rlike(_PLAIN_LOCAL), _in_zone(trimmed.try_cast("timestamp_ntz"), naive_tz))
         .when(trimmed.rlike(_PLAIN_ZONED), trimmed.try_cast("timestamp"))
-        .when(zone == "none", _in_zone(local, naive_tz))
-        .otherwise(zoned.try_cast("timestamp"))
+        .otherwise(_any_spelling(text, instant))
     )
 
 
@@ -93,10 +111,12 @@ def parse_date(text: Column) -> Column:
 
     After the day only a valid time may follow, with a zone that :func:`parse_ts` understands.
     """
-    trimmed, iso = F.btrim(text), _iso(text)
-    return (
-        F.when(trimmed.rlike(r"^\d{4}-\d{2}-\d{2}$"), trimmed.try_cast("date"))
-        .when(_zone(iso).isNotNull(), _local(iso).cast("date"))
+    def written(read: Column) -> Column:
+        return F.when(read["zone"].isNotNull(), read["local"].cast("date"))
+
+    trimmed = F.btrim(text)
+    return F.when(trimmed.rlike(r"^\d{4}-\d{2}-\d{2}$"), trimmed.try_cast("date")).otherwise(
+        _any_spelling(text, written)
     )
 
 

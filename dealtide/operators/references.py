@@ -59,13 +59,13 @@ class Lookup:
     ):
         self._keys = {column: keys for column, keys, _ in references}
         self._flags = {column: flag for column, _, flag in references}
-        counts = values_of(df, list(self._keys))
-        lost = union_all([
-            counts.filter(F.col("column_name") == column).join(
-                keys.select(F.col(keys.columns[0]).alias("value")), "value", "left_anti"
-            )
+        known = union_all([
+            keys.select(F.lit(column).alias("column_name"),
+                        F.col(keys.columns[0]).cast("string").alias("value"), F.lit(True).alias("found"))
             for column, keys in self._keys.items()
-        ]).select("column_name", "value")
+        ])
+        values = values_of(df, list(self._keys)).join(known, ["column_name", "value"], "left")
+        lost = values.filter("found IS NULL").select("column_name", "value")
         sizes = [m for c in self._keys for m in key_size(["value"], f"{c}_", F.col("column_name") == c)]
         self._lost, self._measured = store(lost, *sizes)
         self._max_keys = max_keys

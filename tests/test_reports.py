@@ -206,3 +206,16 @@ def test_history_gaps(tables):
     assert got == {"A-3": "other_stage", "A-4": "other_stage", "A-5": "no_history",
                    "A-6": "no_history", "A-7": "no_history", "A-8": "no_history",
                    "A-9": "no_history", "A-10": "no_history"}
+
+
+def test_a_period_prices_only_the_lines_of_its_deals(tables):
+    for report in (
+        reports.managers(tables, "2025-03-01", "2025-03-05"), reports.managers(tables, won=True),
+        reports.lead_sources(tables, "2025-03-01", "2025-03-05"),
+    ):
+        lines = report._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        scan = next(n for n, line in enumerate(lines) if "quantity" in line and "Relation" in line)
+        semi = [n for n, line in enumerate(lines) if "Join LeftSemi" in line and n < scan]
+        sums = [n for n, line in enumerate(lines) if "Aggregate [deal_id" in line and n < scan]
+        assert semi and sums and max(semi) > max(sums)
+    assert "LeftSemi" not in reports.managers(tables)._jdf.queryExecution().optimizedPlan().toString()
