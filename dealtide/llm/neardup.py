@@ -193,12 +193,24 @@ def close_pairs(signatures: np.ndarray, sides: np.ndarray | None = None) -> tupl
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Rows of the same bucket and block, which come one after the other: the tile's row and column
-    block, and lists of nodes, roots, blocks and signatures."""
+def _columns(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch; lists as arrays of numbers."""
+    parts = []
+    for column in batch.columns:
+        if pa.types.is_list(column.type):
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+            parts.append([part.copy() for part in np.split(flat, ends[:-1])])
+        else:
+            parts.append(column.to_pylist())
+    return zip(*parts, strict=True)
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows of one tile, which come one after the other: its group and blocks, and the rows."""
     key, rows = None, []
     for batch in batches:
-        for row in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns)], strict=True):
+        for row in _columns(batch):
             if row[:3] != key:
                 if len(rows) > 1:
                     yield key, rows
@@ -208,9 +220,18 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield key, rows
 
 
-def _pairs(forest: bool):
-    """The pairs of each group that are to be checked. ``forest``: of the close pairs those that
-    join a spanning forest, closest first; else all close pairs between different roots."""
+def overlap(one: np.ndarray, other: np.ndarray) -> int:
+    """How many values two sets share, as :func:`shingles` sorts them: without a sign."""
+    one, other = one.view(_U), other.view(_U)
+    if len(one) > len(other):
+        one, other = other, one
+    at = np.minimum(np.searchsorted(other, one), len(other) - 1)
+    return int((other[at] == one).sum())
+
+
+def _forest(similarity: tuple[int, int] | None):
+    """Pairs of each tile that join a forest over its close pairs, closest first, starting from the
+    roots that are known. With ``similarity``, only pairs whose sets are similar join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[bytes, bytes]] = []
@@ -222,20 +243,24 @@ def _pairs(forest: bool):
             out.clear()
             return batch
 
-        for (_, one, other), rows in _groups(batches):
-            nodes, roots, blocks = [r[0] for r in rows], [r[1] for r in rows], np.array([r[2] for r in rows])
+        for (_, one, other), rows in _tiles(batches):
+            blocks = np.array([r[2] for r in rows])
             signatures = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
             i, j, far = close_pairs(signatures, None if one == other else blocks)
-            if forest:
-                known: dict[bytes, int] = {}
-                parent = [known.setdefault(r, n) for n, r in enumerate(roots)]
-                for at in np.lexsort((j, i, far)):
-                    x, y = _find(parent, int(i[at])), _find(parent, int(j[at]))
-                    if x != y:
-                        parent[max(x, y)] = min(x, y)
-                        out.append((nodes[i[at]], nodes[j[at]]))
-            else:
-                out += [(nodes[x], nodes[y]) for x, y in zip(i, j, strict=True) if roots[x] != roots[y]]
+            known: dict[bytes, int] = {}
+            parent = [known.setdefault(r[1], n) for n, r in enumerate(rows)]
+            for at in np.lexsort((j, i, far)):
+                x, y = int(i[at]), int(j[at])
+                a, b = _find(parent, x), _find(parent, y)
+                if a == b:
+                    continue
+                if similarity is not None:
+                    shared = overlap(rows[x][4], rows[y][4])
+                    every = len(rows[x][4]) + len(rows[y][4]) - shared
+                    if shared * similarity[1] < every * similarity[0]:
+                        continue
+                parent[max(a, b)] = min(a, b)
+                out.append((rows[x][0], rows[y][0]))
             if len(out) > 10_000:
                 yield emit()
         if out:
@@ -261,7 +286,8 @@ class _Texts:
     def sets(self, wanted: DataFrame) -> DataFrame:
         """node, set. A node's first row is found by its id, and known by its fingerprint."""
         some = _few(self.nodes.join(wanted, "node", "left_semi"), "node")
-        found = self.rows.join(some, F.col("id").eqNullSafe(F.col("first")))
+        # Stored first: else Spark takes the fingerprints of all rows before it joins them.
+        found = keep(self.rows.join(some, F.col("id").eqNullSafe(F.col("first"))))
         found = found.withColumn("made", _fingerprints(self.size)(F.col("text")))
         texts = found.filter(F.col("made.print") == F.col("node")).groupBy("node").agg(
             F.any_value("text").alias("text")
@@ -302,9 +328,10 @@ def near_duplicates(
     a chunk of their signatures differs in one value at most: with 11 chunks this holds for
     every pair at signature distance 21 or less. In a first pass each bucket proposes a spanning
     forest of its close pairs, which are checked on the whole sets; what is linked becomes one
-    component. In a second pass all other close pairs between different components are checked, so
-    that no link is lost; buckets that lie in one component, as those of large groups of copies now
-    do, are left out. Buckets are compared block by block, and never held as a whole.
+    component. The forests also tell the families of texts that are close at all. In a second pass
+    all other close pairs of a family that lie in different components are checked, so that no link
+    is lost; families that are one component are left out. Buckets and families are compared block
+    by block, and never held as a whole; no pair but those that link leaves a task.
 
     A NULL or empty text, or one without words, has no shingles and is linked with nothing. Ids that
     are NULL are never the smallest; a component without any id has none. Columns of the names
@@ -384,38 +411,40 @@ def _members(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _proposed(placed: DataFrame, forest: bool) -> DataFrame:
-    """a, b: the pairs to be checked, of rows with key, the two blocks of a tile, and their own."""
-    columns = ["key", "one", "other", "node", "root", "block", "signature"]
-    dealt = placed.repartition("key", "one", "other").sortWithinPartitions("key", "one", "other")
-    found = dealt.select(*columns).mapInArrow(_pairs(forest), "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _tiled(rows: DataFrame, group: str) -> DataFrame:
+    """Rows of a group, of ``blocks`` blocks, to all tiles of their block: every two rows of the
+    group meet in one tile, whatever the size of the group."""
+    block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")
+    placed = rows.withColumn("block", block).withColumn(
+        "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    ).withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with"))
+    return placed.repartition(group, "one", "other").sortWithinPartitions(group, "one", "other")
 
 
 def _roots(nodes: DataFrame, texts: _Texts, similarity: tuple[int, int]) -> DataFrame:
     """node, root: for every node that is linked, the node that stands for its component."""
-    members = _members(nodes)
-    block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")
-    first = members.withColumn("block", block).withColumns(
-        {"one": F.col("block"), "other": F.col("block"), "root": F.col("node")}
-    )
-    tried = keep(_proposed(first, True))
+    columns = ["one", "other", "node", "root", "block", "signature"]
+    members = _tiled(_members(nodes), "key").withColumn("root", F.col("node"))
+    found = members.select("key", *columns).mapInArrow(_forest(None), "a binary, b binary")
+    tried = keep(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     roots = components(_exact(tried, texts, similarity))
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # Buckets within one component are done.
-    open_keys = rooted.groupBy("key").agg(
-        F.min(F.xxhash64("root")).alias("least"), F.max(F.xxhash64("root")).alias("most")
-    ).filter("least <> most").select("key")
-    tiles = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    second = (
-        rooted.join(open_keys, "key", "left_semi").withColumn("block", block).withColumn("with", tiles)
-        .withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with"))
-    )
-    rest = keep(_proposed(second, False).join(tried, ["a", "b"], "left_anti"))
+    # All close pairs lie within the families that the forests span.
+    families = components(tried).withColumnRenamed("root", "family").join(roots, "node", "left")
+    families = keep(families.withColumn("root", F.coalesce("root", "node")))
+    unsettled = families.groupBy("family").agg(
+        F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"),
+        F.min(F.xxhash64("root")).alias("least"), F.max(F.xxhash64("root")).alias("most"),
+    ).filter("least <> most").select("family", "blocks")
+    rest = keep(families.join(unsettled, "family"))
     if not rest.limit(1).count():
         return roots
+    sets = texts.sets(rest.select("node"))
+    second = rest.join(nodes.select("node", "signature"), "node").join(sets, "node")
+    checked = _tiled(second, "family").select("family", *columns, "set").mapInArrow(
+        _forest(similarity), "a binary, b binary"
+    )
     # What the second pass links is components, so their roots are joined.
-    linked = keep(_exact(rest, texts, similarity))
+    linked = keep(checked.distinct())
     for end in ("a", "b"):
         of = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
         linked = linked.join(of, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
