@@ -97,9 +97,9 @@ def mix(
     )
     sizes = row.groupBy("source").agg(F.sum("size").alias("source_size"))
     wanted = keep(targets(sizes, weights, share, repeats))
-    queue = keep(served.join(wanted, "source").select(
-        "row", "source", "size", "key", "source_size", "target", "served"
-    ))
+    queue = served.join(wanted, "source")
+    # What the cut is found on is stored without the rows; these are shuffled once, for the result.
+    line = keep(queue.select("source", "size", "key", "source_size", "target", "served"))
     budget = wanted.agg(F.max("budget")).first()[0] or 0.0
 
     def finish(turn):
@@ -110,7 +110,7 @@ def mix(
     # Up to 1 all sources still serve; what finishes later, however late, gets as many ranges.
     late = F.least(F.floor((1 - 1 / F.col("finish")) * ranges), F.lit(ranges - 1)) + ranges
     copies = (
-        queue.filter((F.col("size") > 0) & (F.col("target") > 0))
+        line.filter((F.col("size") > 0) & (F.col("target") > 0))
         .select("source", "size", "key", "served", "source_size", "target",
                 F.explode(F.array(*[F.lit(t) for t in range(repeats)])).alias("turn"))
         .withColumn("finish", finish(F.col("turn")))
@@ -126,10 +126,10 @@ def mix(
     beyond = None
     if ends:
         before = ends[0]["upto"] - ends[0]["size"]
-        line = Window.partitionBy(F.lit(0)).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        by_finish = Window.partitionBy(F.lit(0)).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         beyond = (
             copies.filter(F.col("range") == ends[0]["range"])
-            .withColumn("upto", F.sum("size").over(line) + F.lit(before))
+            .withColumn("upto", F.sum("size").over(by_finish) + F.lit(before))
             .filter(F.col("upto") > budget).orderBy(*order).limit(1).select(*order).collect()[0]
         )
     taken, kind = F.lit(0), "struct<a:double,b:string,c:string,d:bigint,e:int>"
