@@ -78,6 +78,26 @@ def test_pieces_agree_with_the_whole(monkeypatch):
     assert (np.concatenate(list(langid.pieces(text))) == whole).all()
 
 
+def test_language_models_leave_no_gram_out(spark):
+    """However much text there is, and in however many parts: the model is that of all n-grams."""
+    rows = [("x", "abra kadabra " * 400 + "sim sala bim 漢字"), ("x", "rare q"), ("y", "lorem ipsum dolor " * 300 + "zyx")]
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    whole = {}
+    for lang in "xy":
+        grams = np.concatenate([g for name, text in rows if name == lang for g in langid.pieces(text)])
+        whole[lang] = langid.kneser_ney(*langid.distinct(grams))
+    asked = np.unique(np.concatenate([g for t in ("rare q zyx", "sim 漢字 abra", "qqqq Ω") for g in langid.pieces(t)]))
+    expected = np.stack([whole[lang].log_p(asked) for lang in "xy"], axis=1)
+    texts = spark.createDataFrame([("rare q",), ("a zyx lorem",)], "text string")
+    said = []
+    for entries in (8, langid.ENTRIES):
+        found = langid.learn(labelled, entries=entries)
+        assert (len(found.parts) > 3) == (entries == 8)
+        assert found.log_p(asked) == pytest.approx(expected)
+        said.append([r["language"] for r in langid.identify(texts, found).collect()])
+    assert said[0] == said[1] and [r["lang"] for r in said[0]] == ["x", "y"]
+
+
 def test_search_against_all_products():
     random = np.random.default_rng(5)
     rows = np.floor(random.normal(size=(900, 8)) * 100)
