@@ -23,7 +23,30 @@ INSULTS = dict.fromkeys((
     "pig", "retard", "scum", "scumbag", "slut", "stupid", "trash", "ugly", "vermin", "whore", "worthless",
 ), 3.0)
 THREATS = dict.fromkeys(("behead", "burn", "destroy", "hang", "hurt", "kill", "lynch", "murder", "rape", "shoot", "stab"), 0.75)
-TARGETS = frozenset((
+#: Threats with harmless senses: they need a modal before them to be directed.
+HARMS = frozenset(("burn", "destroy", "hang", "hurt", "shoot", "burning", "destroying", "hanging", "hurting", "shooting"))
+GERUNDS = {
+    "beheading": "behead", "burning": "burn", "destroying": "destroy", "hanging": "hang", "hurting": "hurt", "killing": "kill",
+    "lynching": "lynch", "murdering": "murder", "raping": "rape", "shooting": "shoot", "stabbing": "stab",
+}
+PARTICIPLES = {
+    "beheaded": "behead", "burned": "burn", "burnt": "burn", "destroyed": "destroy", "hanged": "hang", "hung": "hang",
+    "killed": "kill", "lynched": "lynch", "murdered": "murder", "raped": "rape", "shot": "shoot", "stabbed": "stab",
+}
+#: Insults of several words, read as one.
+PHRASES = dict.fromkeys((
+    ("piece", "of", "shit"), ("pieces", "of", "shit"), ("waste", "of", "space"), ("waste", "of", "oxygen"), ("son", "of", "a", "bitch"),
+    ("sons", "of", "bitches"), ("scum", "of", "the", "earth"), ("sack", "of", "shit"),
+), 3.0)
+MODALS = frozenset((
+    "will", "shall", "should", "must", "gonna", "gotta", "going", "wanna", "want", "wants", "deserve", "deserves", "need", "needs", "let's",
+    "lets", "i'll", "we'll", "you'll", "they'll", "he'll", "she'll", "i'd", "go", "please", "werde", "werden", "sollte", "sollten",
+))
+BEING = frozenset(("am", "are", "is", "was", "were", "be", "r", "bist", "ist", "sind", "seid", "es", "est", "eres", "son", "sont"))
+#: Targets that are spoken to, and those that hold their own verb.
+YOU = frozenset(("you", "u", "du", "ihr", "dich", "tu", "toi", "vous", "usted", "ustedes", "yourself", "yourselves"))
+CONTRACTED = frozenset(("youre", "you're", "he's", "she's", "they're"))
+TARGETS = YOU | CONTRACTED | frozenset((
     "you", "your", "yours", "youre", "you're", "he", "she", "they", "them", "him", "her", "u", "ur", "people",
     "everyone", "du", "ihr", "dich", "tu", "toi", "vous", "usted", "ustedes",
 ))
@@ -43,9 +66,14 @@ CANDIDATES, SHORTEST, LONGEST = 2_000, 4, 6
 PRECISION = 0.95
 NEGATED, REPORTED, AIMED = 0.5, 0.6, 1.25
 BIAS = 2.0
+#: Least weight of an insult or a threat whose clause is complete: it alone passes a score of 0.7.
+MATCHED, DIRECTED = 3.5, 4.0
+#: Classes of words that have a weight.
+HEADS = ("insult", "threat", "harm", "harmed")
 
 _WORD = re.compile(r"\w+(?:'\w+)?")
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
+_PHRASES = {p[0]: [q for q in PHRASES if q[0] == p[0]] for p in PHRASES}
 
 
 @dataclass(frozen=True)
@@ -72,12 +100,73 @@ def compose(machines: Sequence[Transducer], classes: Sequence[str]) -> list[floa
     return out
 
 
+@dataclass(frozen=True)
+class Matcher:
+    """A transducer that emits a match when a clause completes: (state, class) gives (state, emits),
+    a class that is not listed moves by ``rest``. The match belongs to the last word with a weight."""
+
+    moves: dict[tuple[str, str], tuple[str, bool]]
+    rest: dict[str, str]
+
+    def run(self, classes: Sequence[str]) -> set[int]:
+        """Places of the words whose clause completes."""
+        state, head, out = "start", -1, set()
+        for n, name in enumerate(classes):
+            if name in HEADS:
+                head = n
+            state, emits = self.moves.get((state, name)) or (self.rest.get(state, "in"), False)
+            if emits:
+                out.add(head)
+        return out
+
+
+def _insults() -> Matcher:
+    """``you [word] insult``; a target, a form of *to be*, up to three words, insult; ``insult like target``."""
+    moves: dict[tuple[str, str], tuple[str, bool]] = {}
+    rest = {"you2": "you1", "you1": "in", "one": "in", "is4": "is3", "is3": "is2", "is2": "is1", "is1": "in", "head": "in", "like": "in"}
+    for state in ("start", "in", *rest):
+        moves |= {(state, "you"): ("you2", False), (state, "target"): ("one", False), (state, "contracted"): ("is4", False)}
+        moves[state, "insult"] = ("head", False)
+    for state in ("you2", "you1", "one"):
+        moves[state, "is"] = ("is4", False)
+    for state in ("you2", "you1"):
+        moves[state, "insult"] = ("you2", True)
+    for state in ("is4", "is3", "is2", "is1"):
+        moves[state, "insult"] = ("is4", True)
+    moves["head", "like"] = ("like", False)
+    for name in ("you", "target"):
+        moves["like", name] = ("in", True)
+    return Matcher(moves, rest)
+
+
+def _threats() -> Matcher:
+    """A threat and, up to three words on, ``you``, or any target if the clause starts with the threat
+    or a modal stands up to four words before; a target, a modal and a participle.
+
+    Harms, which have other senses, always need the modal.
+    """
+    moves: dict[tuple[str, str], tuple[str, bool]] = {}
+    rest = {"start": "in", "one2": "one1", "one1": "in"}
+    for name, most in (("may", 4), ("one-may", 4), ("at-you", 3), ("at-any", 3)):
+        rest |= {f"{name}{k}": f"{name}{k - 1}" if k > 1 else "in" for k in range(1, most + 1)}
+    for state in ("in", *rest):
+        may, one = "may" in state, state.startswith("one")
+        moves[state, "modal"] = ("one-may4" if one else "may4", False)
+        moves[state, "threat"] = ("at-any3" if may or state == "start" else "at-you3", False)
+        moves[state, "harm"] = ("at-any3" if may else "in", False)
+        moves[state, "harmed"] = ("in", may and one)
+        for name in ("you", "target", "contracted"):
+            reached = state.startswith("at-any") or name == "you" and state.startswith("at-you")
+            moves[state, name] = (rest[state] if may else "one2", reached)
+    return Matcher(moves, rest)
+
+
 def _negation() -> Transducer:
     """An insult or threat up to two words behind a negation."""
     moves, rest = {}, {0: (0, 1.0), 1: (2, 1.0), 2: (0, 1.0)}
     for state in (0, 1, 2):
         moves[state, "negation"] = (1, 1.0)
-        for name in ("insult", "threat"):
+        for name in HEADS:
             moves[state, name] = (0, 1.0 if state == 0 else NEGATED)
     return Transducer(moves, rest)
 
@@ -85,21 +174,24 @@ def _negation() -> Transducer:
 def _report() -> Transducer:
     """All that stands behind a verb of speech in the clause."""
     moves = {(s, "report"): (1, 1.0) for s in (0, 1)}
-    moves |= {(1, name): (1, REPORTED) for name in ("insult", "threat")}
+    moves |= {(1, name): (1, REPORTED) for name in HEADS}
     return Transducer(moves, {0: (0, 1.0), 1: (1, 1.0)})
 
 
 def _target() -> Transducer:
-    """An insult up to four words behind a target; a threat followed by one counts at the target."""
+    """An insult or a threat up to four words behind a target."""
     moves, rest = {}, {s: (max(0, s - 1), 1.0) for s in range(5)}
     for state in range(5):
-        moves[state, "target"] = (4, 1.0)
+        for name in ("target", "you", "contracted"):
+            moves[state, name] = (4, 1.0)
         moves[state, "insult"] = (max(0, state - 1), AIMED if state else 1.0)
-        moves[state, "threat"] = (max(0, state - 1), 2.0 if state else 1.0)
+        for name in ("threat", "harm"):
+            moves[state, name] = (max(0, state - 1), 2.0 if state else 1.0)
     return Transducer(moves, rest)
 
 
 GRAMMAR = (_negation(), _report(), _target())
+MATCHERS = ((_insults(), MATCHED), (_threats(), DIRECTED))
 
 
 @dataclass(frozen=True)
@@ -112,7 +204,7 @@ class Lexicon:
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
-        for word in {**self.words, **self.stems, **THREATS}:
+        for word in {**self.words, **self.stems, **THREATS, **GERUNDS, **PARTICIPLES, **{p[0]: 0 for p in PHRASES}}:
             found.add_word(word, len(word))
         if len(found):
             found.make_automaton()
@@ -120,6 +212,8 @@ class Lexicon:
 
     def weight(self, word: str) -> float:
         known = self.words.get(word)
+        if known is None and word.endswith("s"):
+            known = self.words.get(word[:-1])
         if known is not None:
             return known
         for length in range(min(len(word), LONGEST), SHORTEST - 1, -1):
@@ -131,16 +225,41 @@ class Lexicon:
         weight = self.weight(word)
         if weight:
             return "insult", weight
-        if word in THREATS:
-            return "threat", THREATS[word]
-        for name, members in (("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS)):
+        verb = word if word in THREATS else GERUNDS.get(word) or PARTICIPLES.get(word)
+        if verb:
+            return "harmed" if word in PARTICIPLES else "harm" if word in HARMS else "threat", THREATS[verb]
+        for name, members in (
+            ("you", YOU), ("contracted", CONTRACTED), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS),
+            ("modal", MODALS), ("is", BEING),
+        ):
             if word in members:
                 return name, 0.0
-        return "", 0.0
+        return ("like" if word == "like" else ""), 0.0
+
+    def read(self, clause: str) -> list[tuple[str, float]]:
+        """Class and weight of each word; a phrase is one word."""
+        words, out, at = _WORD.findall(clause), [], 0
+        while at < len(words):
+            phrase = next((p for p in _PHRASES.get(words[at], ()) if tuple(words[at : at + len(p)]) == p), None)
+            out.append(("insult", PHRASES[phrase]) if phrase else self.classify(words[at]))
+            at += len(phrase or "1")
+        return out
+
+    def weigh(self, clause: str) -> float:
+        """The weights of the words under the grammar; those whose clause is complete have at least
+        the weight of the match, less if negated or reported."""
+        read = self.read(clause)
+        classes = [name for name, _ in read]
+        least = [0.0] * len(read)
+        for matcher, lift in MATCHERS:
+            for at in matcher.run(classes):
+                least[at] = max(least[at], lift)
+        softer, aimed = compose(GRAMMAR[:2], classes), compose(GRAMMAR[2:], classes)
+        return sum(max(w * a, low) * f for (_, w), a, low, f in zip(read, aimed, least, softer, strict=True))
 
     def clauses(self, text: str) -> list[tuple[str, float]]:
         """The clauses that hold an insult or a threat, with their weights. Others are not read."""
-        text, out, done = text.lower(), [], -1
+        text, out, done = text.lower().replace("\u2019", "'"), [], -1
         if not len(self.automaton):
             return out
         for end, length in self.automaton.iter(text):
@@ -153,9 +272,7 @@ class Lexicon:
             closing = _CLAUSE_END.search(text, end + 1)
             done = closing.start() if closing else len(text)
             clause = text[start:done]
-            classes = [self.classify(w) for w in _WORD.findall(clause)]
-            factors = compose(GRAMMAR, [name for name, _ in classes])
-            weight = sum(w * f for (_, w), f in zip(classes, factors, strict=True))
+            weight = self.weigh(clause)
             if weight:
                 out.append((clause, weight))
         return out

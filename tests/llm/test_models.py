@@ -31,6 +31,20 @@ def test_grammar(text, weight):
     assert sum(w for _, w in LEXICON.clauses(text)) == pytest.approx(weight)
 
 
+@pytest.mark.parametrize(
+    "text, toxic",
+    [
+        ("I will kill you", True), ("we are gonna stab all of them", True), ("kill them all!", True), ("go kill yourself", True),
+        ("they should all be hanged", True), ("you will be shot", True), ("I\u2019ll burn you", True), ("killing you slowly", True),
+        ("you piece of shit", True), ("they are a waste of space", True),
+        ("I will not kill you", False), ("he said he will kill you", False), ("they kill time", False), ("he was killed", False),
+        ("hang them on the wall", False), ("it may hurt you", False), ("a waste of time", False), ("the candles will burn", False),
+    ],
+)
+def test_threats_and_phrases(text, toxic):
+    assert (LEXICON.score(text)[0] >= 0.7) == toxic
+
+
 def test_words_are_learned(spark):
     rows = [(f"{'blarg' if n % 2 else 'snurfling'} the end {n}", 1) for n in range(20)]
     rows += [(f"the end of a story {n}", 0) for n in range(20)] + [("blar", 0)]
