@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from dealtide.llm.tables import keep, prepare_python
 
-# Words of the grammar. Insults and threats have weights until labels give better ones.
+# Words of the grammar. Insults and threats have weights until labels give better ones: a
+# lone word is far from toxic.
 INSULTS = dict.fromkeys((
     "asshole", "bastard", "bitch", "clown", "coward", "cretin", "degenerate", "disgusting", "dumbass", "filth",
     "freak", "garbage", "idiot", "imbecile", "jerk", "loser", "lowlife", "maggot", "moron", "parasite", "pathetic",
     "pig", "retard", "scum", "scumbag", "slut", "stupid", "trash", "ugly", "vermin", "whore", "worthless",
-), 3.0)
+), 1.0)
 THREATS = dict.fromkeys(("behead", "burn", "destroy", "hang", "hurt", "kill", "lynch", "murder", "rape", "shoot", "stab"), 0.75)
 #: Threats with harmless senses: they need a modal before them to be directed.
 HARMS = frozenset(("burn", "destroy", "hang", "hurt", "shoot", "burning", "destroying", "hanging", "hurting", "shooting"))
@@ -66,6 +67,10 @@ CANDIDATES, SHORTEST, LONGEST = 2_000, 4, 6
 PRECISION = 0.95
 NEGATED, REPORTED, AIMED = 0.5, 0.6, 1.25
 BIAS = 2.0
+#: Words up to this weight say little alone: without a match those of a clause weigh that much together at most.
+WEAK = 2.0
+#: Labelled texts from which the weight of a fixed word is fitted.
+SEEN = 5
 #: Least weight of an insult or a threat whose clause is complete: it alone passes a score of 0.7.
 MATCHED, DIRECTED = 3.5, 4.0
 #: Classes of words that have a weight.
@@ -200,6 +205,7 @@ class Lexicon:
 
     words: dict[str, float]
     stems: dict[str, float]
+    threats: dict[str, float] = field(default_factory=lambda: dict(THREATS))
 
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
@@ -227,7 +233,7 @@ class Lexicon:
             return "insult", weight
         verb = word if word in THREATS else GERUNDS.get(word) or PARTICIPLES.get(word)
         if verb:
-            return "harmed" if word in PARTICIPLES else "harm" if word in HARMS else "threat", THREATS[verb]
+            return "harmed" if word in PARTICIPLES else "harm" if word in HARMS else "threat", self.threats[verb]
         for name, members in (
             ("you", YOU), ("contracted", CONTRACTED), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS),
             ("modal", MODALS), ("is", BEING),
@@ -255,7 +261,13 @@ class Lexicon:
             for at in matcher.run(classes):
                 least[at] = max(least[at], lift)
         softer, aimed = compose(GRAMMAR[:2], classes), compose(GRAMMAR[2:], classes)
-        return sum(max(w * a, low) * f for (_, w), a, low, f in zip(read, aimed, least, softer, strict=True))
+        weak = strong = 0.0
+        for (_, w), a, low, f in zip(read, aimed, least, softer, strict=True):
+            if w <= WEAK and not low:
+                weak += w * a * f
+            else:
+                strong += max(w * a, low) * f
+        return strong + min(weak, WEAK)
 
     def clauses(self, text: str) -> list[tuple[str, float]]:
         """The clauses that hold an insult or a threat, with their weights. Others are not read."""
@@ -278,8 +290,9 @@ class Lexicon:
         return out
 
     def score(self, text: str | None) -> tuple[float, int]:
+        """By the strongest clause, so that a text is not toxic for being long; and how many matched."""
         found = self.clauses(text or "")
-        total = sum(weight for _, weight in found)
+        total = max((weight for _, weight in found), default=0.0)
         return 1.0 / (1.0 + math.exp(BIAS - min(total, 50.0))), len(found)
 
 
@@ -301,7 +314,8 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Lexicon:
     From at most ``sample`` texts of each label (those with the smallest hashes; equal texts count
     once). A stem is taken if hardly any clean text has it and it stands in 2% of the toxic ones, or
     if it explains toxic texts that those taken before leave unexplained. Words of the fixed list
-    keep their weight unless the clean texts speak against them. Without toxic or without clean
+    and threats have the weight that the labels give them if at least ``SEEN`` labelled texts have them.
+    Without toxic or without clean
     texts the fixed list is all there is. NULL and empty texts and other labels are left out.
     """
     prepare_python(labelled.sparkSession)
@@ -347,7 +361,7 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Lexicon:
     }
     known = {
         r["stem"].strip(): (r["toxic"], r["clean"])
-        for r in counts.filter(F.col("stem").isin([w + " " for w in INSULTS])).collect()
+        for r in counts.filter(F.col("stem").isin([w + " " for w in (*INSULTS, *THREATS)])).collect()
     }
 
     def held(batches):
@@ -376,10 +390,13 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Lexicon:
     def odds(toxic: int, clean: int) -> float:
         return math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
 
-    words = {w: min(6.0, max(0.5, odds(*known[w]))) if sum(known.get(w, (0, 0))) >= 5 else weight for w, weight in INSULTS.items()}
-    words |= {s.strip(): min(6.0, max(3.0, odds(*candidates[s]))) for s in chosen if s.endswith(" ")}
-    stems = {s: min(6.0, max(3.0, odds(*candidates[s]))) for s in chosen if not s.endswith(" ")}
-    return Lexicon(words, stems)
+    def fitted(fixed: dict[str, float], least: float) -> dict[str, float]:
+        return {w: min(6.0, max(least, odds(*known[w]))) if sum(known.get(w, (0, 0))) >= SEEN else weight for w, weight in fixed.items()}
+
+    words = fitted(INSULTS, 0.5)
+    words |= {s.strip(): min(6.0, max(0.5, odds(*candidates[s]))) for s in chosen if s.endswith(" ")}
+    stems = {s: min(6.0, max(0.5, odds(*candidates[s]))) for s in chosen if not s.endswith(" ")}
+    return Lexicon(words, stems, fitted(THREATS, 0.25))
 
 
 def score(df: DataFrame, lexicon: Lexicon, text: str = "text", name: str = "toxicity") -> DataFrame:

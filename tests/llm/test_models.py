@@ -45,6 +45,28 @@ def test_threats_and_phrases(text, toxic):
     assert (LEXICON.score(text)[0] >= 0.7) == toxic
 
 
+@pytest.mark.parametrize(
+    "text, toxic",
+    [
+        ("the pig slept", False), ("an ugly wall", False), ("garbage collection", False), ("the ugly pig ate trash in the garbage", False),
+        ("burn the wood. hang the coat. it may hurt. shoot the film. " * 50, False), ("an ugly wall. the pig slept. " * 50, False),
+        ("you are an ugly pig", True), ("you filthy pig", True), ("they're vermin", True), ("losers like you", True),
+    ],
+)
+def test_lone_words_do_not_decide(text, toxic):
+    lexicon = toxicity.Lexicon(dict(toxicity.INSULTS), {})
+    assert (lexicon.score(text)[0] >= 0.7) == toxic
+
+
+def test_weights_come_from_the_labels(spark):
+    rows = [(f"a wall of trash {n}", 1) for n in range(30)] + [(f"they kill weeds {n}", 1) for n in range(30)]
+    rows += [(f"the garbage man {n}", 0) for n in range(60)] + [(f"blargish {n}", 1) for n in range(2)]
+    rows += [(f"a tale {n}", 0) for n in range(900)]
+    lexicon = toxicity.learn(spark.createDataFrame(rows, "text string, label int"))
+    assert lexicon.words["trash"] > 3 and lexicon.words["garbage"] == 0.5 and lexicon.words["pig"] == toxicity.INSULTS["pig"]
+    assert lexicon.threats["kill"] > 3 and lexicon.threats["stab"] == toxicity.THREATS["stab"]
+
+
 def test_words_are_learned(spark):
     rows = [(f"{'blarg' if n % 2 else 'snurfling'} the end {n}", 1) for n in range(20)]
     rows += [(f"the end of a story {n}", 0) for n in range(20)] + [("blar", 0)]
