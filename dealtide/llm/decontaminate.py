@@ -9,6 +9,7 @@ becomes a small Hamming distance, and texts that agree in some sampled steps are
 from __future__ import annotations
 
 import math
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ from dealtide.llm.tables import keep, prepare_python
 EDITS = 0.2
 #: Probability to find a passage with as many edits as that, and repetitions to reach it, at most.
 RECALL, REPETITIONS = 0.95, 24
-#: Items of fewer words are too short to tell.
+#: Items of fewer words are too short for edits to tell: they are found unchanged only.
 SHORTEST = 8
 #: Windows grow by this factor from size class to size class.
 CLASS_STEP = 1.5
@@ -40,10 +41,21 @@ _WORDS = bytes(
 )
 _U = np.uint64
 UNKNOWN, PAD = 0, 1
+# Letters of scripts without spaces between words (Thai, Lao, Myanmar, Khmer, kana, Han) are words each.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+    "\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U000323af]"
+)
+# The first bytes of those in UTF-8: a text without any is not decoded.
+_MAY_HOLD = re.compile(rb"[\xe0\xe1\xe3-\xe9\xef\xf0]")
 
 
 def words(text: str | bytes | None) -> list[bytes]:
     raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+    if _MAY_HOLD.search(raw):
+        spaced = _UNSPACED.sub(r" \g<0> ", raw.decode("utf-8", "replace"))
+        spaced = re.sub("[\u3000-\u3004\u3008-\u3020\u3030\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]", " ", spaced)
+        raw = spaced.encode("utf-8", "surrogatepass")
     return raw.translate(_WORDS).split()
 
 
@@ -138,9 +150,17 @@ class Index:
         self.edits = edits
         self.ids = [item_id for item_id, w in given if len(w) >= shortest]
         texts = [w for _, w in given if len(w) >= shortest]
-        self.vocabulary = {w: n for n, w in enumerate(sorted({w for text in texts for w in text}), 2)}
+        few = [(item_id, w) for item_id, w in given if 0 < len(w) < shortest]
+        self.vocabulary = {w: n for n, w in enumerate(sorted({w for text in [*texts, *[w for _, w in few]] for w in text}), 2)}
         self.size = len(self.vocabulary) + 2
         self.items = [np.array([self.vocabulary[w] for w in text], np.int64) for text in texts]
+        # By number of words: the items of so few, by their words.
+        self.runs: dict[int, dict[tuple[int, ...], list[int]]] = defaultdict(dict)
+        for item_id, w in few:
+            self.runs[len(w)].setdefault(tuple(self.vocabulary[x] for x in w), []).append(item_id)
+        # By number of words: the sorted hashes of those, to leave out other runs at once.
+        self.factors = _random(shortest, 1)
+        self.run_hashes = {n: np.unique([self._hashed(np.array(run, _U)) for run in runs]) for n, runs in self.runs.items()}
         self.classes: list[SizeClass] = []
         by_window = defaultdict(list)
         for n, item in enumerate(self.items):
@@ -174,6 +194,27 @@ class Index:
         most = max(math.floor(self.edits * len(item)) for item in items)
         return SizeClass(window, most, tuple(members), tuple(samplings), tuple(keys), tuple(owners))
 
+    def _hashed(self, tokens: np.ndarray, size: int = 0) -> np.ndarray:
+        """The hash of each run of ``size`` words; of all words, if 0."""
+        size = size or len(tokens)
+        out = np.zeros(len(tokens) - size + 1, _U)
+        for k in range(size):
+            out += (tokens[k : k + len(out)].astype(_U) + _U(1)) * self.factors[k]
+        return out
+
+    def exact(self, tokens: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Start, number of words and id: the runs of words that are a short item, unchanged. Of
+        occurrences of one item that overlap, the first."""
+        free: dict[int, int] = {}
+        for size, runs in sorted(self.runs.items()):
+            if len(tokens) < size:
+                continue
+            for at in np.flatnonzero(np.isin(self._hashed(tokens, size), self.run_hashes[size])).tolist():
+                for item_id in runs.get(tuple(tokens[at : at + size].tolist()), ()):
+                    if at >= free.get(item_id, 0):
+                        free[item_id] = at + size
+                        yield at, size, item_id
+
     def candidates(self, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Starts and items that agree in the sampled steps of a repetition.
 
@@ -209,9 +250,9 @@ class Index:
     def leaks(self, texts: Sequence[bytes | None]) -> list[list[dict]]:
         """For each text: the passages within the allowed edit distance of an item."""
         out: list[list[dict]] = [[] for _ in texts]
-        if not self.items:
+        if not self.items and not self.runs:
             return out
-        longest = max(len(item) for item in self.items) + 1
+        longest = max([len(item) for item in self.items], default=0) + 1
         gap = np.full(2 * longest, PAD, np.int64)
         parts, starts = [], []
         length = 0
@@ -223,6 +264,9 @@ class Index:
         if not parts:
             return out
         tokens, firsts = np.concatenate(parts), np.array(starts)
+        for at, size, item_id in self.exact(tokens):
+            text = int(np.searchsorted(firsts, at, "right")) - 1
+            out[text].append({"item_id": item_id, "start": at - starts[text], "words": size, "distance": 0})
         found = [np.stack(c) for c in self.candidates(tokens)]
         if not found:
             return out
@@ -310,11 +354,13 @@ def find_leaks(
     """All rows and columns, and ``name``: an array of item_id, start, words and distance.
 
     A leak is a passage at most ``edits`` (share of the item's words) edits of words away from an
-    item: words are runs of letters and digits, A-Z in lower case. Whole texts are searched; of
+    item: words are runs of letters and digits, A-Z in lower case; in scripts without spaces, each
+    letter is a word. Whole texts are searched; of
     passages of one item that overlap, the closest is given. A passage with as many edits as allowed
     is found with probability ``recall``, one with fewer more surely, an unchanged one always.
 
-    Items with fewer than ``SHORTEST`` words, without text or id, are not looked for. The items are
+    Items with fewer than ``SHORTEST`` words are found where all their words stand unchanged; items
+    without any word, text or id are not looked for. The items are
     broadcast; of more than ``pass_bytes``, as many as that in one pass, and the texts are read once
     for each pass. Equal items are found each. A NULL or empty text has no leaks. A column of the
     name is replaced; repeated rows have the same leaks, and an empty table gives an empty table.

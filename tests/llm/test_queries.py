@@ -222,6 +222,17 @@ def test_second_pass_and_large_buckets(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(df).collect()} == expected
 
 
+
+def test_short_and_unspaced_items_are_found():
+    long = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往"
+    index = decontaminate.Index([(1, "Paris"), (2, "the capital of France"), (3, "the capital of France"), (4, "漢字"), (5, long), (6, " ?")])
+    texts = ["Is it the Capital, of france? paris Paris", "the capital of all France", "私は漢字を書く", f"前言{long[:9]}无{long[10:]}。后记", "parisian", "", None]
+    found = [sorted((h["item_id"], h["start"], h["words"], h["distance"]) for h in x) for x in index.leaks([t and t.encode() for t in texts])]
+    assert found == [[(1, 6, 1, 0), (1, 7, 1, 0), (2, 2, 4, 0), (3, 2, 4, 0)], [], [(4, 2, 2, 0)], [(5, 2, 20, 1)], [], [], []]
+    only = decontaminate.Index([(4, "漢字")])
+    assert [len(x) for x in only.leaks(["漢字、漢字".encode(), b"x"])] == [2, 0]
+
+
 def test_signature_distance_guarantee():
     """Signatures within the joined distance share a bucket, however the errors lie."""
     random = np.random.default_rng(3)
