@@ -379,9 +379,11 @@ def near_duplicates(
         .filter(F.col("id").eqNullSafe(F.col("component"))).groupBy("root").count().filter("count > 1")
     )
     if claims.limit(1).count():
-        order = Window.partitionBy("root", "own").orderBy("tie", "print")
-        place = F.when(F.col("root").isNull(), 1).otherwise(F.row_number().over(order))
-        out = out.withColumn("chosen", F.col("own") & (place == 1))
+        # Rows in no group, most of the table, have no root to be dealt by and stay where they are.
+        order = Window.partitionBy("root").orderBy("tie", "print")
+        claim = F.col("root").isNotNull() & F.col("own")
+        ranked = out.filter(claim).withColumn("chosen", F.row_number().over(order) == 1)
+        out = out.filter(~claim).withColumn("chosen", F.col("own")).unionByName(ranked)
     else:
         out = out.withColumn("chosen", F.col("own"))
     return out.select(

@@ -84,6 +84,13 @@ def test_near_duplicates_of_awkward_rows(spark, awkward):
     assert all(r["representative"] for r in by[8])
 
 
+def test_rows_in_no_group_are_not_ranked(spark, awkward):
+    """The window takes the rows of groups alone: they come from an inner join, not from a left one."""
+    plan = OPERATORS["near"](spark, awkward)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window [") :]
+    assert "Join Inner" in below and "LeftOuter" not in below
+
+
 def test_shards_and_mix_of_awkward_rows(spark, awkward):
     rows = OPERATORS["shards"](spark, awkward).collect()
     for shard in range(3):
