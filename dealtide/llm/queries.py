@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealtide.llm import chat, decontaminate, langid, licenses, mixing, neardup, sharding, topk, toxicity, urls
+from dealtide.llm import (
+    chat, decontaminate, langid, licenses, mixing, neardup, phrases, repeats, sharding, topk, toxicity, urls, variants,
+)
 from dealtide.llm.tables import keep, read, words_in
 
 #: Rows whose id is divisible by this are queries, for searches.
@@ -139,6 +141,31 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of 13 words that an earlier one has."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(documents, size=13).select(
+        "doc_id", "repeats.n_words", "repeats.n_removed", F.sha2("repeats.text", 256).alias("kept_sha256")
+    )
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest collocations of every language."""
+    documents = read(spark, sf_dir, "documents").select("text", "lang")
+    return phrases.collocations(documents, threshold=100, longest=5, first=2000)
+
+
+#: Of so many words one is spoilt, and words of so many letters and occurrences are looked at.
+MISSPELT, LEAST_LETTERS, LEAST_COUNT = 199, 6, 5
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, some of them spoilt, with their near words and the form they come from."""
+    counted = variants.count_words(read(spark, sf_dir, "documents").select("doc_id", "text"), every=MISSPELT)
+    words = counted.filter((F.char_length("word") >= LEAST_LETTERS) & (F.col("n") >= LEAST_COUNT))
+    return variants.group_variants(words, ratio=5)
+
+
 QUERIES = {
     "op1_topk": op1_topk,
     "op3_decontamination": op3_decontamination,
@@ -150,6 +177,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_langid": op10_langid,
+    "op11_repeats": op11_repeats,
+    "op12_phrases": op12_phrases,
+    "op13_variants": op13_variants,
 }
 
 #: CRC-32 in SQL: the table of its polynomial, made by its rule, applied byte by byte.
@@ -163,6 +193,9 @@ _CRC32 = """xor(4294967295, list_reduce(
                        regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT),
                    lambda c, b: xor(c // 256, crcs[xor(c % 256, b) + 1])))"""
 
+#: CRC-32 of the bytes of ``doc_id:word`` for every word.
+_CRC32_WORD = _CRC32.replace("coalesce(text, '')", "coalesce(CAST(doc_id AS VARCHAR), '') || ':' || word")
+
 _SOURCE = "coalesce('0' || source, '1')"
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -243,6 +276,83 @@ ORACLE = {
                    ELSE {len(chat.START) + len(chat.END) + 2} + length(role) END) AS BIGINT) AS formatted_chars
         FROM marked GROUP BY conv_id
     """,
+    "op11_repeats": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS line, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+        ), stretches AS (
+            SELECT line, doc_id, k, array_to_string(words[k:k + 12], ' ') AS stretch
+            FROM docs, unnest(range(1, greatest(len(words) - 11, 1))) AS t(k)
+        ), earliest AS (SELECT stretch, min(doc_id) AS least FROM stretches GROUP BY stretch),
+        repeated AS (SELECT line, k FROM stretches JOIN earliest USING (stretch) WHERE least < doc_id OR (doc_id IS NULL AND least IS NOT NULL)),
+        gone AS (SELECT DISTINCT line, k + step AS k FROM repeated, range(13) AS r(step)),
+        lists AS (SELECT line, list(k) AS gone FROM gone GROUP BY line),
+        left_over AS (
+            SELECT doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
+                   list_filter(words, lambda w, i: gone IS NULL OR NOT list_contains(gone, i)) AS kept
+            FROM docs LEFT JOIN lists USING (line)
+        )
+        SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM left_over
+    """,
+    "op12_phrases": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   regexp_extract_all(unnest(regexp_split_to_array(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS words
+            FROM documents WHERE text IS NOT NULL
+        ), grams AS (
+            SELECT lang, size, array_to_string(words[k:k + size - 1], ' ') AS phrase
+            FROM pieces, range(1, 6) AS s(size), unnest(range(1, greatest(len(words) - size + 2, 1))) AS t(k)
+        ), counted AS (SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang),
+        candidates AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS words FROM counted WHERE size >= 2 AND n >= 100),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.size, a, words, k, l.n AS l, r.n AS r, t.n AS n,
+                   CAST(1000::HUGEINT * a * t.n // (l.n::HUGEINT * r.n) AS BIGINT) AS score
+            FROM candidates c, unnest(range(1, c.size)) AS u(k), counted l, counted r, totals t
+            WHERE l.lang = c.lang AND r.lang = c.lang AND t.lang = c.lang
+              AND l.phrase = array_to_string(c.words[1:k], ' ') AND r.phrase = array_to_string(c.words[k + 1:], ' ')
+        ), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inside AS (
+            SELECT lang, array_to_string(words[k:k + size2 - 1], ' ') AS phrase, max(a) AS longer
+            FROM candidates, range(2, 5) AS s(size2), unnest(range(1, greatest(size - size2 + 2, 1))) AS u(k)
+            WHERE size2 < size GROUP BY ALL
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "binary") AS rank,
+               phrase, a, l, r, n, score
+        FROM best LEFT JOIN inside USING (lang, phrase)
+        WHERE longer IS NULL OR 100 * longer < 100 * a
+        QUALIFY rank <= 2000
+    """,
+    "op13_variants": f"""
+        WITH RECURSIVE {_CRC_TABLE}, runs AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS word
+            FROM documents
+        ), pairs AS (SELECT doc_id, word, count(*) AS n FROM runs GROUP BY ALL),
+        marked AS (SELECT word, n, {_CRC32_WORD} AS h FROM pairs, crc_table),
+        spoilt AS (
+            SELECT CASE WHEN h % {MISSPELT} = 0 THEN word[:h % length(word)] || word[h % length(word) + 2:] ELSE word END AS word, n FROM marked
+        ), words AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spoilt GROUP BY word
+            HAVING length(word) >= {LEAST_LETTERS} AND sum(n) >= {LEAST_COUNT}
+        ), without AS (
+            SELECT word, n, k, CASE WHEN k = 1 THEN word[2:] ELSE word[:k - 1] || word[k + 1:] END AS rest
+            FROM words, unnest(range(1, length(word) + 1)) AS t(k)
+        ), met AS (
+            SELECT a.word AS a, b.word AS b, b.n FROM without a JOIN without b USING (k, rest) WHERE a.word <> b.word
+            UNION SELECT w.rest, w.word, w.n FROM without w JOIN words s ON s.word = w.rest
+            UNION SELECT w.word, s.word, s.n FROM without w JOIN words s ON s.word = w.rest
+        ), near AS (
+            SELECT a AS word, count(*) AS n_near, arg_min(b, (-n, b)) AS form, max(n) AS form_n FROM met GROUP BY a
+        ), forms AS (
+            SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN form_n >= 5 * words.n THEN form END AS form, CASE WHEN form_n >= 5 * words.n THEN form_n END AS form_n
+            FROM words LEFT JOIN near USING (word)
+        ), chains AS (
+            SELECT word, word AS root, form AS next FROM forms
+            UNION ALL
+            SELECT c.word, f.word, f.form FROM chains c JOIN forms f ON f.word = c.next
+        )
+        SELECT word, n, form, root, n_near, form_n FROM forms JOIN (SELECT word, root FROM chains WHERE next IS NULL) USING (word)
+    """,
     "op7_mixing": f"""
         WITH docs AS (
             SELECT doc_id, {_SOURCE} AS source,

@@ -17,12 +17,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/dealtide-llm/{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete an intermediate table that no plan reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Write an intermediate table to the folder that all executors share, and read it back.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the steps before this one.
     """
-    path = f"{shared_folder(df.sparkSession)}/dealtide-llm/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from dealtide.llm import chat, decontaminate, langid, licenses, mixing, neardup, sharding, topk, toxicity, urls
+from dealtide.llm import (
+    chat, decontaminate, langid, licenses, mixing, neardup, phrases, repeats, sharding, topk, toxicity, urls, variants,
+)
 
 from .conftest import AWKWARD, CLASHES, texts
 
@@ -29,12 +31,14 @@ OPERATORS = {
     "mix": lambda spark, df: mixing.mix(_words(df), "words").drop("words"),
     "near": lambda spark, df: neardup.near_duplicates(df),
     "urls": lambda spark, df: urls.judge(df, "text", [("block", "org", "/")]),
+    "repeats": lambda spark, df: repeats.remove_repeats(df, size=4),
 }
 ADDED = {
     "leaks": {"leaks"}, "licenses": {"licenses"}, "toxicity": {"toxicity"}, "language": {"language"},
     "shards": {"shard", "slot"}, "mix": {"source_size", "target", "copies", "finish"},
     "near": {"n_shingles", "component_id", "kept", "representative"},
     "urls": {"host", "path", "rule", "strict", "soft", "verdict"},
+    "repeats": {"repeats"},
 }
 
 
@@ -135,3 +139,43 @@ def test_learning_without_rows(spark):
     assert langid.learn(none.select("lang", "text")).languages == ()
     rows = spark.createDataFrame([("abc",), (None,)], "text string")
     assert [r["language"]["lang"] for r in langid.identify(rows, langid.learn(none)).collect()] == ["und", "und"]
+
+
+def test_repeats_of_awkward_rows(spark, awkward):
+    rows = OPERATORS["repeats"](spark, awkward).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["doc_id"], []).append(tuple(r["repeats"]))
+    assert by[1] == by[2] == by[3] == [(0, 0, "")]
+    long = next(t for d, t, _ in AWKWARD if d == 4)
+    assert by[4] == [(60_000, 0, long)] and by[5] == [(60_001, 60_000, "end")]
+    assert by[7] == [(6, 0, "same row twice here for you")] * 2  # the same id twice
+    assert sorted(by[None]) == [(7, 0, "no id at all in this row")] * 2
+    assert sorted(by[8]) == [(5, 0, "one id with another text"), (5, 0, "one id with this text")]
+
+
+def test_phrases_of_awkward_rows(spark, awkward):
+    given = awkward.select("*", F.when(F.col("source") == "a", "xx").when(F.col("source") == "b", "yy").alias("lang"))
+    rows = phrases.collocations(given, threshold=2, longest=3).collect()
+    found = {(r["lang"], r["phrase"]): r.asDict() for r in rows}
+    assert found["und", "same row twice"]["a"] == 2 and ("und", "same row") not in found
+    assert found["xx", "no id at"]["a"] == 2 and found["yy", "wort0 and"]["a"] == 62
+    assert {r["n"] for r in rows if r["lang"] == "yy"} == {120_001}
+    ranks = sorted(r["rank"] for r in rows if r["lang"] == "yy")
+    assert ranks == list(range(1, len(ranks) + 1))
+    assert phrases.collocations(given.limit(0)).count() == 0
+    assert phrases.collocations(given.select("text", F.lit(None).cast("string").alias("lang")), threshold=10**9).count() == 0
+
+
+def test_variants_of_awkward_rows(spark, awkward):
+    counted = variants.count_words(awkward)
+    n = {r["word"]: r["n"] for r in counted.collect()}
+    assert n["wort"] == n["and"] == 60_000 and n["no"] == 2 and n["ünïcödé".replace("ü", "Ü")] == 1 and None not in n
+    assert sum(n.values()) == sum(r["n"] for r in variants.count_words(awkward, every=7).collect())
+    given = [(None, 3), ("", 9), ("a", 100), ("b", 1), ("abc", None), ("😀a", 2), ("x" * 3000, 7), ("x" * 2999, 1)]
+    rows = {r["word"]: tuple(r)[1:] for r in variants.group_variants(spark.createDataFrame(given, "word string, n long")).collect()}
+    assert rows == {
+        "": (9, "a", "a", 3 - 1, 100), "a": (100, None, "a", 3, None), "b": (1, "a", "a", 2, 100),
+        "😀a": (2, "a", "a", 1, 100), "x" * 3000: (7, None, "x" * 3000, 1, None), "x" * 2999: (1, "x" * 3000, "x" * 3000, 1, 7),
+    }
+    assert variants.group_variants(counted.limit(0)).count() == 0
