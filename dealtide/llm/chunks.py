@@ -14,6 +14,7 @@ from __future__ import annotations
 import gc
 import hashlib
 import random
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -59,8 +60,12 @@ def stored(df: DataFrame, *measures: Column) -> Stored:
 
 
 def release(spark: SparkSession) -> None:
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Have Spark delete the shuffle files of plans that nothing refers to: the second collection finds
+    what the first has only cut loose."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def deal(df: DataFrame, text: str) -> Stored:

@@ -151,14 +151,20 @@ def _stretches(size: int, count: int):
         s = _Stretches(rows, size, count)
         own = s.order[s.first]
         for bucket, (keys, ids) in C.by_bucket(s.buckets[own], s.keys[own], s.least):
-            yield bucket, keys.astype("<u8").tobytes() + ids.astype("<i8").tobytes()
+            yield bucket, _pack(keys, ids)
 
     return question
 
 
+def _pack(keys: np.ndarray, ids: np.ndarray) -> bytes:
+    """Keys, and ids by planes of bytes, since the upper ones are much alike."""
+    return keys.astype("<u8").tobytes() + ids.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
 def _split(body: bytes) -> tuple[np.ndarray, np.ndarray]:
-    half = len(body) // 2
-    return np.frombuffer(body[:half], "<u8"), np.frombuffer(body[half:], "<i8")
+    n = len(body) // 16
+    planes = np.frombuffer(body, np.uint8, 8 * n, 8 * n).reshape(8, n)
+    return np.frombuffer(body, "<u8", n), np.ascontiguousarray(planes.T).view("<i8").reshape(n)
 
 
 def _earliest(bodies: list[bytes]) -> list[bytes]:
@@ -173,7 +179,7 @@ def _earliest(bodies: list[bytes]) -> list[bytes]:
     for own, least in asked:
         known = ids[np.searchsorted(keys, own)]
         told = known < least
-        out.append(own[told].tobytes() + known[told].tobytes())
+        out.append(_pack(own[told], known[told]))
     return out
 
 
@@ -240,16 +246,18 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_column: str = "doc_id", t
     )
     dealt = C.deal(given, "text")
     count = C.partitions(dealt.measured["bytes"], 1, KEYS)
-    hits = C.answer(C.ask(dealt.table.select("id", "text", "chunk"), _probes(block, count)), _hits)
+    # Stored, so that the shuffle of the probes is released before the texts are shuffled.
+    hits = C.stored(C.answer(C.ask(dealt.table.select("id", "text", "chunk"), _probes(block, count)), _hits))
     wide = T.StructType([*dealt.table.schema.fields, T.StructField("words", T.LongType()), T.StructField("near", T.BinaryType())])
     extended = C.stored(
-        C.resolve(dealt.table, hits.withColumn("count", F.lit(count)), wide, _extend(size, block, _arrow(wide))),
+        C.resolve(dealt.table, hits.table.withColumn("count", F.lit(count)), wide, _extend(size, block, _arrow(wide))),
         F.coalesce(F.sum(F.when(F.col("near").isNotNull(), F.octet_length("text"))), F.lit(0)).alias("bytes"),
     )
     dealt.drop()
+    hits.drop()
     near = extended.table.filter("near IS NOT NULL")
     count = C.partitions(extended.measured["bytes"], 1, KEYS)
-    earliest = C.answer(C.ask(near.select("id", "text", "near", "chunk"), _stretches(size, count)), _earliest)
+    earliest = C.stored(C.answer(C.ask(near.select("id", "text", "near", "chunk"), _stretches(size, count)), _earliest)).table
     final = T.StructType([
         *[f for f in wide.fields if f.name in ("text", "row", "words")],
         T.StructField("removed", T.LongType()), T.StructField("left", T.StringType()),
