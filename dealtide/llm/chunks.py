@@ -12,11 +12,11 @@ answers, finds the places of the keys itself.
 from __future__ import annotations
 
 import gc
-import hashlib
 import random
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -135,16 +135,88 @@ def resolve(chunks: DataFrame, answered: DataFrame, schema, resolver: Callable[[
     return chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(run, schema)
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, made once for each different word of a chunk."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        self[word] = value
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), _U, len(words))
+#: Bytes hashed at once.
+_STEP = 1 << 20
+#: Base of the polynomial that a word's bytes make up, modulo 2**64, and a number for each byte.
+_BASE = 0x5851F42D4C957F2D
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+@lru_cache(maxsize=2)
+def _powers(base: int) -> np.ndarray:
+    out = np.full(_STEP, _U(base))
+    out[0] = 1
+    return np.cumprod(out)
+
+
+@lru_cache(maxsize=1)
+def _numbers() -> np.ndarray:
+    return mix(np.arange(1, 257, dtype=_U) * KEY)
+
+
+class Words:
+    """The words of some texts, in one line: where they begin and end, and a 64-bit hash of each.
+
+    ``separators``: bytes between words. ``breaks``: those of them that also end a piece; so does the end of a
+    text. A hash is the difference of two running sums over the line, so no word is cut out for it.
+    """
+
+    def __init__(self, texts: list[bytes], separators: bytes, breaks: bytes = b"\n"):
+        self.line = breaks[:1].join(texts)
+        raw = np.frombuffer(self.line, np.uint8)
+        is_space, is_break = np.zeros(256, bool), np.zeros(256, bool)
+        is_space[list(separators)] = is_break[list(breaks)] = True
+        numbers, power, inverse = _numbers(), _powers(_BASE), _powers(_INVERSE)
+        parts: dict[str, list[np.ndarray]] = {k: [] for k in ("begins", "ends", "before", "after", "shift", "piece")}
+        total, pieces, within = _U(0), 0, False
+        for at in range(0, len(raw), _STEP):
+            part = raw[at : at + _STEP]
+            space = is_space[part]
+            prior = np.concatenate([[not within], space[:-1]])
+            sums = np.concatenate([[total], total + np.cumsum(numbers[part] * power[: len(part)] * _U(pow(_BASE, at, 1 << 64)))])
+            begins, ends = np.flatnonzero(~space & prior), np.flatnonzero(space & ~prior)
+            broken = pieces + np.cumsum(is_break[part])
+            for name, value in (
+                ("begins", begins + at), ("ends", ends + at), ("before", sums[begins]), ("after", sums[ends]),
+                ("shift", inverse[begins] * _U(pow(_INVERSE, at, 1 << 64))), ("piece", broken[begins]),
+            ):
+                parts[name].append(value)
+            total, pieces, within = sums[-1], int(broken[-1]), not space[-1]
+        if within:
+            parts["ends"].append(np.array([len(raw)]))
+            parts["after"].append(np.array([total], _U))
+        joined = {k: np.concatenate([np.zeros(0, _U if k in ("before", "after", "shift") else np.int64), *v]) for k, v in parts.items()}
+        self.begins, self.ends, self.piece = joined["begins"], joined["ends"], joined["piece"]
+        self.hashes = mix((joined["after"] - joined["before"]) * joined["shift"])
+        lengths = np.array([len(t) + 1 for t in texts], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        #: Words of each text, and the text of each word.
+        self.lengths = np.diff(np.searchsorted(self.begins, np.append(starts, len(raw) + 1)))
+        self.owner = np.repeat(np.arange(len(texts)), self.lengths)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def text(self, first: int, size: int) -> str:
+        """Words joined by one space."""
+        return b" ".join(
+            self.line[a:b] for a, b in zip(self.begins[first : first + size].tolist(), self.ends[first : first + size].tolist())
+        ).decode()
+
+
+def places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For groups of so many rows, one after the other: each row's place in its group, and the rows from
+    there to the end of the group."""
+    begins = np.cumsum(lengths) - lengths
+    place = np.arange(lengths.sum()) - np.repeat(begins, lengths)
+    return place, np.repeat(lengths, lengths) - place
+
+
+def among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which of the values are in ``wanted``, sorted."""
+    if not len(wanted):
+        return np.zeros(len(values), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)] == values
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -10,6 +10,8 @@ partition's; n-grams that meet there can only survive together.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -33,37 +35,25 @@ _PIECES = bytes(
 
 
 class _Grams:
-    """Words of a chunk in one row, piece by piece, and the language of each piece."""
+    """Words of a chunk in one row, with their language and how many follow in their piece."""
 
     def __init__(self, rows: pa.Table):
-        known = C.WordHashes()
-        self.words: list[bytes] = []
-        lengths, langs = [], []
-        self.totals: dict[str, int] = {}
-        for text, lang in zip(rows.column("text"), rows.column("lang").to_pylist()):
-            before = len(self.words)
-            for piece in (text.as_py() or "").encode().translate(_PIECES).split(b"\n"):
-                line = piece.split(b" ")
-                if not all(line):
-                    line = [w for w in line if w]
-                if line:
-                    self.words += line
-                    lengths.append(len(line))
-                    langs.append(lang)
-            self.totals[lang] = self.totals.get(lang, 0) + len(self.words) - before
-        self.lengths = np.array(lengths, np.int64)
+        self.words = words = C.Words([(t.as_py() or "").encode().translate(_PIECES) for t in rows.column("text")], b" \n")
+        langs = rows.column("lang").to_pylist()
         self.langs = sorted(set(langs))
         number = {lang: n for n, lang in enumerate(self.langs)}
-        self.salts = known.of([f"lang {lang}".encode() for lang in self.langs])
-        self.hashes = known.of(self.words)
-        self.lang = np.repeat(np.array([number[x] for x in langs], np.int64), self.lengths)
-        begins = np.cumsum(self.lengths) - self.lengths
-        self.left = np.repeat(begins + self.lengths, self.lengths) - np.arange(len(self.words))
+        own = np.array([number[x] for x in langs], np.int64)
+        self.totals = dict(zip(self.langs, np.bincount(own, words.lengths, len(self.langs)).astype(np.int64).tolist()))
+        self.lang = own[words.owner]
+        salts = [hashlib.blake2b(lang.encode(), digest_size=8).digest() for lang in self.langs]
+        self.salts = np.frombuffer(b"".join(salts), "<u8")
+        cuts = np.flatnonzero(np.diff(words.piece, prepend=-1))
+        self.left = C.places(np.diff(np.append(cuts, len(words))))[1]
 
     def of(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of the n-grams of a size and their keys."""
         at = np.flatnonzero(self.left >= size)
-        return at, C.mix(C.runs(self.hashes, size)[at] ^ self.salts[self.lang[at]])
+        return at, C.mix(C.runs(self.words.hashes, size)[at] ^ self.salts[self.lang[at]])
 
 
 def _short(keys: np.ndarray, count: int) -> np.ndarray:
@@ -146,8 +136,8 @@ def _survive(threshold: int, room: int):
         wanted = summary.survivors(threshold)
         out = []
         for body in bodies:
-            own = np.unique(_unpack(body)[0])
-            out.append(own[np.isin(own, wanted, assume_unique=True)].astype("<u4").tobytes())
+            own = _unpack(body)[0]
+            out.append(own[C.among(own, wanted)].astype("<u4").tobytes())
         return out
 
     return answers
@@ -171,11 +161,10 @@ def _counts(longest: int, count: int):
             found += [(lang, 0, "", n) for lang, n in grams.totals.items() if n]
             for size in range(1, longest + 1):
                 at, keys = grams.of(size)
-                hit = np.isin(_short(keys, count), wanted)
+                hit = C.among(_short(keys, count), wanted)
                 _, first, counts = np.unique(keys[hit], return_index=True, return_counts=True)
                 for place, n in zip(at[hit][first].tolist(), counts.tolist()):
-                    phrase = b" ".join(grams.words[place : place + size]).decode()
-                    found.append((grams.langs[grams.lang[place]], size, phrase, n))
+                    found.append((grams.langs[grams.lang[place]], size, grams.words.text(place, size), n))
         kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
         columns = [[f[k] for f in found] for k in range(4)]
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["lang", "size", "phrase", "n"])

@@ -29,25 +29,24 @@ _U = np.uint64
 _LAST = np.iinfo(np.int64).max
 
 
+#: Bytes between words.
+_SPACES = b" \t\n\x0b\x0c\r"
+
+
 class _Words:
-    """Hashes of the words of a chunk's texts in one row, and whose words they are."""
-
-    def __init__(self, texts: pa.ChunkedArray, ids: pa.ChunkedArray):
-        known, parts = C.WordHashes(), []
-        for text in texts:
-            parts.append(known.of((text.as_py() or "").encode().split()))
-        self.lengths = np.array([len(p) for p in parts], np.int64)
-        self.hashes = np.concatenate([*parts, np.zeros(0, _U)])
+    """Words of a chunk's texts in one row, and whose words they are."""
+
+    def __init__(self, rows: pa.Table):
+        words = C.Words([(t.as_py() or "").encode() for t in rows.column("text")], _SPACES)
+        self.hashes, self.lengths, self.owner = words.hashes, words.lengths, words.owner
         self.begins = np.cumsum(self.lengths) - self.lengths
-        self.owner = np.repeat(np.arange(len(parts)), self.lengths)
-        self.place = np.arange(len(self.hashes)) - self.begins[self.owner]
+        self.place, self.left = C.places(self.lengths)
         # A row without an id comes after all others.
-        self.ids = np.array([_LAST if i is None else i for i in ids.to_pylist()], np.int64)
+        self.ids = np.array([_LAST if i is None else i for i in rows.column("id").to_pylist()], np.int64)
 
     def whole(self, size: int) -> np.ndarray:
-        """For each run of so many words: does it lie in one document?"""
-        n = max(0, len(self.hashes) - size + 1)
-        return self.place[:n] + size <= self.lengths[self.owner[:n]]
+        """Words at which so many words of one document begin."""
+        return np.flatnonzero(self.left >= size)
 
 
 def _bucket(keys: np.ndarray, count: int) -> np.ndarray:
@@ -60,22 +59,17 @@ def _short(keys: np.ndarray, count: int) -> np.ndarray:
 
 
 def _probes(block: int, count: int):
-    """Question: each different window of a chunk, whether it is a block, whether two documents have it."""
+    """Question: each different window of a chunk, whether it is a block, whether it stands there twice."""
 
     def question(rows: pa.Table):
-        words = _Words(rows.column("text"), rows.column("id"))
-        at = np.flatnonzero(words.whole(block))
-        keys = _short(C.runs(words.hashes, block)[at], count)
-        order = np.argsort(keys, kind="stable")
-        keys, at = keys[order], at[order]
-        first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + _U(1)))
-        if not len(first):
-            return
-        last = np.append(first[1:], len(keys)) - 1
-        is_block = np.logical_or.reduceat(words.place[at] % block == 0, first)
-        shared = words.owner[at[first]] != words.owner[at[last]]
-        keys = keys[first]
-        entry = ((keys & _U((1 << _BITS) - 1)).astype(np.uint32) << np.uint32(2)) | (is_block * np.uint32(2)) | shared
+        words = _Words(rows)
+        at = words.whole(block)
+        keys = np.sort(_short(C.runs(words.hashes, block)[at], count) << _U(1) | (words.place[at] % block == 0))
+        first = np.flatnonzero(np.diff(keys >> _U(1), prepend=~keys[:1]))
+        last = np.append(first[1:], len(keys))[: len(first)] - 1
+        is_block, twice = keys[last] & _U(1), (last > first).astype(_U)
+        keys = keys[first] >> _U(1)
+        entry = (keys & _U((1 << _BITS) - 1)) << _U(2) | is_block << _U(1) | twice
         for bucket, (part,) in C.by_bucket((keys >> _U(_BITS)).astype(np.int64), entry.astype("<u4")):
             yield bucket, part.tobytes()
 
@@ -83,19 +77,19 @@ def _probes(block: int, count: int):
 
 
 def _hits(bodies: list[bytes]) -> list[bytes]:
-    """Answer: the windows of each chunk that are a block of some document and stand in another one."""
+    """Answer: the windows of each chunk that are a block of some document and stand elsewhere too."""
     entries = [np.frombuffer(b, "<u4") for b in bodies]
     line = np.sort(np.concatenate(entries))
     number = line >> np.uint32(2)
     first = np.flatnonzero(np.diff(number.astype(np.int64), prepend=-1))
     count = np.diff(np.append(first, len(number)))
     is_block = np.logical_or.reduceat(line & np.uint32(2), first)
-    shared = np.logical_or.reduceat(line & np.uint32(1), first)
-    wanted = number[first[is_block & (shared | (count > 1))]]
+    twice = np.logical_or.reduceat(line & np.uint32(1), first)
+    wanted = number[first[is_block & (twice | (count > 1))]]
     out = []
     for own in entries:
-        own = np.unique(own >> np.uint32(2))
-        out.append(own[np.isin(own, wanted, assume_unique=True)].astype("<u4").tobytes())
+        own = own >> np.uint32(2)  # sorted
+        out.append(own[C.among(own, wanted)].astype("<u4").tobytes())
     return out
 
 
@@ -105,17 +99,17 @@ def _extend(size: int, block: int, schema: pa.Schema):
     def resolver(rows: pa.Table, told: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return schema.empty_table()
-        words = _Words(rows.column("text"), rows.column("id"))
+        words = _Words(rows)
         hits = [np.zeros(0, _U)]
         count = told.column("count")[0].as_py() if told.num_rows else 1
         for bucket, body in zip(told.column("bucket").to_pylist(), told.column("answer").to_pylist()):
             hits.append((_U(bucket) << _U(_BITS)) | np.frombuffer(body, "<u4").astype(_U))
         near = np.zeros(len(words.hashes), bool)
-        at = np.flatnonzero(words.whole(block))
+        at = words.whole(block)
         hit = np.zeros(len(words.hashes) + size, np.int32)
-        hit[at] = np.isin(_short(C.runs(words.hashes, block)[at], count), np.concatenate(hits))
+        hit[at] = C.among(_short(C.runs(words.hashes, block)[at], count), np.unique(np.concatenate(hits)))
         sums = np.concatenate([np.zeros(1, np.int32), np.cumsum(hit, dtype=np.int32)])
-        begins = np.flatnonzero(words.whole(size))
+        begins = words.whole(size)
         near[begins] = sums[begins + size - block + 1] > sums[begins]
         bits = []
         for begin, length in zip(words.begins, words.lengths):
@@ -128,29 +122,32 @@ def _extend(size: int, block: int, schema: pa.Schema):
 
 
 class _Stretches:
-    """The runs of ``size`` words of a chunk at which hits may begin, and their keys."""
+    """The runs of ``size`` words of a chunk at which hits may begin, by their keys: ``at`` and ``group`` for
+    each run, ``keys`` and ``least`` (the smallest id) for each group of equal ones."""
 
-    def __init__(self, rows: pa.Table, size: int, count: int):
-        self.words = words = _Words(rows.column("text"), rows.column("id"))
+    def __init__(self, rows: pa.Table, size: int):
+        self.words = words = _Words(rows)
         marked = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(rows.column("near").to_pylist(), words.lengths)]
-        self.at = np.flatnonzero(np.concatenate([*marked, np.zeros(0, np.uint8)]))
-        self.keys = C.runs(words.hashes, size)[self.at]
-        self.buckets = _bucket(C.runs(words.hashes, size, C.SECOND)[self.at], count)
-        self.order = np.lexsort((words.ids[words.owner[self.at]], self.keys, self.buckets))
-        keys, buckets = self.keys[self.order], self.buckets[self.order]
-        new = (np.diff(keys, prepend=keys[:1] + _U(1)) != 0) | (np.diff(buckets, prepend=-1) != 0)
+        at = np.flatnonzero(np.concatenate([*marked, np.zeros(0, np.uint8)]))
+        keys = C.runs(words.hashes, size)[at]
+        order = np.argsort(keys, kind="stable")
+        self.at, keys = at[order], keys[order]
+        self.own = words.ids[words.owner[self.at]]
+        new = np.diff(keys, prepend=~keys[:1]) != 0
         self.first = np.flatnonzero(new)
         self.group = np.cumsum(new) - 1
-        self.least = words.ids[words.owner[self.at[self.order[self.first]]]]
+        self.keys = keys[self.first]
+        self.least = np.minimum.reduceat(self.own, self.first) if len(keys) else self.own
 
 
 def _stretches(size: int, count: int):
     """Question: each different stretch of a chunk with the smallest id that has it there."""
 
     def question(rows: pa.Table):
-        s = _Stretches(rows, size, count)
-        own = s.order[s.first]
-        for bucket, (keys, ids) in C.by_bucket(s.buckets[own], s.keys[own], s.least):
+        s = _Stretches(rows, size)
+        buckets = _bucket(C.runs(s.words.hashes, size, C.SECOND)[s.at[s.first]], count)
+        order = np.argsort(buckets, kind="stable")
+        for bucket, (keys, ids) in C.by_bucket(buckets[order], s.keys[order], s.least[order]):
             yield bucket, _pack(keys, ids)
 
     return question
@@ -173,7 +170,7 @@ def _earliest(bodies: list[bytes]) -> list[bytes]:
     keys, ids = np.concatenate([k for k, _ in asked]), np.concatenate([i for _, i in asked])
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + _U(1)))
+    first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
     keys, ids = keys[first], ids[first]
     out = []
     for own, least in asked:
@@ -183,22 +180,18 @@ def _earliest(bodies: list[bytes]) -> list[bytes]:
     return out
 
 
-def _remove(size: int, count: int, schema: pa.Schema):
+def _remove(size: int, schema: pa.Schema):
     """Rows of a chunk without the words of their repeats."""
 
     def resolver(rows: pa.Table, told: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return schema.empty_table()
-        s = _Stretches(rows, size, count)
+        s = _Stretches(rows, size)
         words, least = s.words, s.least.copy()
-        keys, buckets = s.keys[s.order[s.first]], s.buckets[s.order[s.first]]
-        for bucket, body in zip(told.column("bucket").to_pylist(), told.column("answer").to_pylist()):
-            a, b = np.searchsorted(buckets, [bucket, bucket + 1])
-            other, ids = _split(body)
-            place = a + np.searchsorted(keys[a:b], other)
-            np.minimum.at(least, place, ids)
-        own = words.ids[words.owner[s.at[s.order]]]
-        repeated = s.at[s.order[least[s.group] < own]]
+        for body in told.column("answer").to_pylist():
+            keys, ids = _split(body)
+            np.minimum.at(least, np.searchsorted(s.keys, keys), ids)
+        repeated = s.at[least[s.group] < s.own]
         edges = np.zeros(len(words.hashes) + size + 1, np.int32)
         np.add.at(edges, repeated, 1)
         np.add.at(edges, repeated + size, -1)
@@ -262,7 +255,7 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_column: str = "doc_id", t
         *[f for f in wide.fields if f.name in ("text", "row", "words")],
         T.StructField("removed", T.LongType()), T.StructField("left", T.StringType()),
     ])
-    cut = C.resolve(near, earliest, final, _remove(size, count, _arrow(final)))
+    cut = C.resolve(near, earliest, final, _remove(size, _arrow(final)))
     whole = extended.table.filter("near IS NULL").select(
         "text", "row", "words", F.lit(0).cast("long").alias("removed"), _spaced("text").alias("left")
     )
