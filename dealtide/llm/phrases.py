@@ -16,10 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dealtide.llm import chunks as C
-from dealtide.llm.tables import keep
 
 #: Occurrences in a hash partition, about: bounds what a task holds at once.
 MASS = 4_000_000
@@ -143,46 +141,74 @@ def _survive(threshold: int, room: int):
     return answers
 
 
-_COUNTS = "lang string, size int, phrase string, n bigint"
+_COUNTED = "bucket int, langs array<string>, sizes array<int>, phrases array<string>, counts array<bigint>"
+_SUMMED = "lang string, size int, phrase string, n bigint"
 
 
 def _counts(longest: int, count: int):
-    """The surviving n-grams of a chunk with their counts; of size 0: all words of a language."""
+    """The surviving n-grams of a chunk with their counts, those of a hash partition in one row; of size
+    0: all words of a language."""
 
     def resolver(rows: pa.Table, told: pa.Table) -> pa.Table:
-        grams = _Grams(rows) if rows.num_rows else None
-        found = []
-        if grams:
-            parts = [
-                (_U(bucket) << _U(_SLOT)) | np.frombuffer(body, "<u4").astype(_U)
-                for bucket, body in zip(told.column("bucket").to_pylist(), told.column("answer").to_pylist())
-            ]
-            wanted = np.unique(np.concatenate([*parts, np.zeros(0, _U)]))
-            found += [(lang, 0, "", n) for lang, n in grams.totals.items() if n]
-            for size in range(1, longest + 1):
-                at, keys = grams.of(size)
-                hit = C.among(_short(keys, count), wanted)
-                _, first, counts = np.unique(keys[hit], return_index=True, return_counts=True)
-                for place, n in zip(at[hit][first].tolist(), counts.tolist()):
-                    found.append((grams.langs[grams.lang[place]], size, grams.words.text(place, size), n))
-        kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
-        columns = [[f[k] for f in found] for k in range(4)]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["lang", "size", "phrase", "n"])
+        grams = _Grams(rows)
+        parts = [
+            (_U(bucket) << _U(_SLOT)) | np.frombuffer(body, "<u4").astype(_U)
+            for bucket, body in zip(told.column("bucket").to_pylist(), told.column("answer").to_pylist())
+        ]
+        wanted = np.unique(np.concatenate([*parts, np.zeros(0, _U)]))
+        buckets = [np.zeros(len(grams.langs), np.int64)]
+        langs, texts = list(grams.langs), [""] * len(grams.langs)
+        sizes, counts = [np.zeros(len(langs), np.int32)], [np.array(list(grams.totals.values()), np.int64)]
+        for size in range(1, longest + 1):
+            at, keys = grams.of(size)
+            hit = C.among(_short(keys, count), wanted)
+            keys, first, n = np.unique(keys[hit], return_index=True, return_counts=True)
+            found = at[hit][first]
+            langs += [grams.langs[x] for x in grams.lang[found].tolist()]
+            texts += [grams.words.text(x, size) for x in found.tolist()]
+            buckets.append((_short(keys, count) >> _U(_SLOT)).astype(np.int64))
+            sizes.append(np.full(len(keys), size, np.int32))
+            counts.append(n.astype(np.int64))
+        bucket = np.concatenate(buckets)
+        order = np.argsort(bucket, kind="stable")
+        given, begins = np.unique(bucket[order], return_index=True)
+        offsets = pa.array(np.append(begins, len(order)), pa.int32())
+        flat = (
+            pa.array(langs, pa.string()), pa.array(np.concatenate(sizes)), pa.array(texts, pa.string()), pa.array(np.concatenate(counts)),
+        )
+        lists = [pa.ListArray.from_arrays(offsets, x.take(pa.array(order))) for x in flat]
+        return pa.table([pa.array(given, pa.int32()), *lists], names=["bucket", "langs", "sizes", "phrases", "counts"])
 
     return resolver
 
 
+def _sums(threshold: int):
+    """The exact counts of a hash partition: the chunks' counts added up."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        flat = [rows.column(c).combine_chunks().flatten() for c in ("langs", "sizes", "phrases", "counts")]
+        summed = pa.table(flat, names=["lang", "size", "phrase", "n"]).group_by(["lang", "size", "phrase"]).aggregate([("n", "sum")])
+        n, size = summed.column("n_sum").to_numpy(), summed.column("size").to_numpy()
+        kept = summed.filter(pa.array((n >= threshold) | (size == 0) & (n > 0)))
+        return kept.select(["lang", "size", "phrase", "n_sum"]).rename_columns(["lang", "size", "phrase", "n"])
+
+    return run
+
+
 def frequent_phrases(docs: DataFrame, threshold: int, longest: int) -> DataFrame:
     """lang, size, phrase, n: all runs of up to ``longest`` words with at least ``threshold`` occurrences in
-    the texts of a language, counted exactly; with size 0 the number of its words."""
+    the texts of a language, counted exactly; with size 0 the number of its words.
+
+    The counts of a chunk travel as one row for each hash partition. It holds a phrase once, so that the rows of
+    a partition are bounded by its mass, and no phrase is hot.
+    """
     dealt = C.deal(docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")), "text")
     count = C.partitions(dealt.measured["bytes"], longest, MASS)
-    survivors = C.answer(C.ask(dealt.table, _sends(longest, count)), _survive(threshold, ROOM))
-    counted = C.resolve(dealt.table, survivors, _COUNTS, _counts(longest, count))
-    summed = counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    out = keep(summed.filter((F.col("n") >= threshold) | (F.col("size") == 0)))
+    survivors = C.stored(C.answer(C.ask(dealt.table, _sends(longest, count)), _survive(threshold, ROOM)))
+    counted = C.resolve(dealt.table, survivors.table, _COUNTED, _counts(longest, count))
+    out = C.stored(counted.groupBy("bucket").applyInArrow(_sums(threshold), _SUMMED)).table
     dealt.drop()
-    C.release(docs.sparkSession)
+    survivors.drop()
     return out
 
 
