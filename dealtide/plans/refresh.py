@@ -14,7 +14,7 @@ from dealtide.operators.findings import accepted, entries, journal
 from dealtide.operators.unions import union_all
 from dealtide.plans import cleaning
 from dealtide.session import prepare, size_shuffles, store, stored_until_done
-from dealtide.sources.snapshot import SnapshotWriter
+from dealtide.sources.snapshot import SnapshotWriter, append_journal
 
 Tables = Mapping[str, DataFrame]
 
@@ -100,6 +100,8 @@ LEVELS = (
     ("deal_products", "payments", "activities", "stage_history", "production_orders", "shipments"),
 )
 JOBS_AT_ONCE = 4
+#: Folder of the journal of all runs, beside the runs.
+JOURNAL = "_journal"
 #: Bytes that a shuffle of a whole table takes, for each byte of the stored table.
 SHUFFLED_PER_STORED = 4
 
@@ -121,6 +123,9 @@ def refresh(
     deleted at the end. A ``run_id`` can be used once. With
     ``constraints='fail'`` a broken constraint leaves the run without a manifest; with
     ``'quarantine'`` the rows that break one are dropped and journalled.
+
+    The entries of a finished run are added to the journal of all runs, ``folder``/:data:`JOURNAL`. Should
+    that fail, :func:`dealtide.sources.snapshot.append_journal` adds them again.
     """
     if constraints not in ("fail", "quarantine"):
         raise ValueError("constraints must be 'fail' or 'quarantine'")
@@ -154,4 +159,5 @@ def refresh(
         main["rejects"] = out.write("main", "rejects", log)
         expectations.enforce(main, ["rejects"])
         out.finish()
+    append_journal(main["rejects"], f"{folder.rstrip('/')}/{JOURNAL}", run_id)
     return out.folder

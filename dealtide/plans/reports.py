@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealtide.functions import day
+from dealtide.sources.snapshot import Snapshot, period
 
 Tables = Mapping[str, DataFrame]
 Day = datetime.date | datetime.datetime | str | None
@@ -31,12 +32,11 @@ def _or_zero(amount: Column) -> Column:
     return F.coalesce(amount, F.lit(0).cast("decimal(14,2)"))
 
 
-def _period(df: DataFrame, column: str, start: Day, end: Day) -> DataFrame:
-    if start is not None:
-        df = df.filter(F.col(column) >= F.lit(str(start)).cast("timestamp"))
-    if end is not None:
-        df = df.filter(F.col(column) < F.lit(str(end)).cast("timestamp"))
-    return df
+def _period(tables: Tables, table: str, column: str, start: Day, end: Day) -> DataFrame:
+    """Rows of a period; of a stored run only the partitions of its months."""
+    if isinstance(tables, Snapshot):
+        return tables.between(table, column, start, end)
+    return period(tables[table], column, start, end)
 
 
 def deal_economics(tables: Tables, deals: DataFrame | None = None) -> DataFrame:
@@ -62,7 +62,7 @@ def deal_economics(tables: Tables, deals: DataFrame | None = None) -> DataFrame:
 
 def funnel(tables: Tables, start: Day = None, end: Day = None) -> DataFrame:
     """Deals and their expected amount by stage; stages without deals are kept."""
-    deals = _period(tables["deals"], "created_at", start, end)
+    deals = _period(tables, "deals", "created_at", start, end)
     by_stage = deals.groupBy("stage_id").agg(
         F.count("deal_id").alias("deals_count"), F.sum("expected_amount").alias("amount_total")
     )
@@ -86,7 +86,7 @@ def managers(
     ``won`` counts only deals in a success stage. ``include_unassigned`` adds one line for the
     deals without a manager.
     """
-    deals = _period(tables["deals"], "created_at", start, end)
+    deals = _period(tables, "deals", "created_at", start, end)
     filtered = won or start is not None or end is not None
     if won:
         success = tables["pipeline_stages"].filter("is_success").select("stage_id")
@@ -216,7 +216,7 @@ def lead_sources(
     The period applies to the creation of deals and to the date of costs. ``with_romi`` adds
     ``net / marketing_cost``, NULL without costs.
     """
-    deals = _period(tables["deals"], "created_at", start, end)
+    deals = _period(tables, "deals", "created_at", start, end)
     filtered = start is not None or end is not None
     by_source = (
         deals.filter(F.col("source_id").isNotNull())
@@ -229,7 +229,7 @@ def lead_sources(
             F.sum("margin").alias("margin"),
         )
     )
-    costs = _period(tables["marketing_costs"], "cost_date", start, end)
+    costs = _period(tables, "marketing_costs", "cost_date", start, end)
     spent = costs.groupBy("source_id").agg(F.sum("cost_amount").alias("marketing_cost"))
     margin, cost = _or_zero(F.col("margin")), _or_zero(F.col("marketing_cost"))
     columns = [
@@ -251,25 +251,32 @@ def lead_sources(
     )
 
 
-def defect_summary(tables: Tables, severity: str | None = None) -> DataFrame:
-    """Journal entries by severity and table."""
+def defect_summary(
+    tables: Tables, severity: str | None = None, run_id: str | None = None
+) -> DataFrame:
+    """Journal entries by severity and table, of all runs in it or of one."""
     return (
-        _journal(tables, severity)
+        _journal(tables, severity, run_id)
         .groupBy("severity", "source_table")
         .agg(F.count("*").alias("cnt"))
         .orderBy("severity", "source_table")
     )
 
 
-def defect_detail(tables: Tables, severity: str | None = None) -> DataFrame:
+def defect_detail(
+    tables: Tables, severity: str | None = None, run_id: str | None = None
+) -> DataFrame:
+    """Journal entries one by one, of all runs in it or of one."""
     columns = ["severity", "source_table", "record_key", "reason"]
-    return _journal(tables, severity).select(*columns).orderBy(
+    return _journal(tables, severity, run_id).select(*columns).orderBy(
         "severity", "source_table", F.asc_nulls_last("record_key"), "reason"
     )
 
 
-def _journal(tables: Tables, severity: str | None) -> DataFrame:
+def _journal(tables: Tables, severity: str | None, run_id: str | None) -> DataFrame:
     rejects = tables["rejects"]
+    if run_id is not None:
+        rejects = rejects.filter(F.col("run_id") == run_id)
     return rejects if severity is None else rejects.filter(F.col("severity") == severity)
 
 

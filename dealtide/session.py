@@ -97,6 +97,12 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(path).getLength()
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    path, files = _file_system(spark, path)
+    files.delete(path, True)
+
+
 @contextmanager
 def stored_until_done(spark: SparkSession) -> Iterator[None]:
     """Tables that :func:`store` writes inside are deleted at the end.
@@ -113,8 +119,7 @@ def stored_until_done(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(_SCOPE)
         else:
             spark.conf.set(_SCOPE, before)
-        path, files = _file_system(spark, folder)
-        files.delete(path, True)
+        delete_path(spark, folder)
 
 
 def store(df: DataFrame, *measures: Column) -> tuple[DataFrame, dict]:

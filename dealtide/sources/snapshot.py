@@ -1,18 +1,25 @@
 """Snapshots: one Parquet folder per table and a manifest that is written last.
 
 Every run writes to a folder of its own, so that a refresh never destroys what is being read,
-and a run without a manifest is known to be unfinished.
+and a run without a manifest is known to be unfinished. The manifest holds a fingerprint of every
+table, measured while it was written.
+
+Tables that reports read by period are partitioned by the month of a date, in place of an index on it.
+The month is not a column of the table: :meth:`Snapshot.between` filters by it before it is left out.
 """
 
 from __future__ import annotations
 
+import datetime
 import json
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealtide.session import path_bytes, path_exists
+from dealtide.model import TABLES
+from dealtide.operators import digests
+from dealtide.session import delete_path, path_bytes, path_exists
 
 _MANIFEST = "_manifest"
 _MANIFEST_SCHEMA = T.StructType([
@@ -21,15 +28,24 @@ _MANIFEST_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("row_count", T.LongType(), False),
     T.StructField("table_schema", T.StringType(), False),
+    T.StructField("digests", T.MapType(T.StringType(), T.StringType()), True),
+    T.StructField("month_of", T.StringType(), True),
 ])
 
+#: Tables of the layer ``main`` that are partitioned, and the column whose month it is.
+MONTH_OF = {"deals": "created_at", "marketing_costs": "cost_date"}
+MONTH = "_month"
+
+Day = datetime.date | datetime.datetime | str | None
+
+
+def _groups(layer: str, table: str, columns: list[str]) -> dict[str, list[str]]:
+    key = TABLES[table].key if layer == "main" and table in TABLES else ()
+    return digests.groups_of(columns, key)
 
-def write_table(df: DataFrame, path: str) -> int:
-    """Write a new table and return its number of rows, counted while writing."""
-    seen = Observation()
-    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    rows.write.parquet(path)
-    return seen.get["rows"]
+
+def _month(instant: Column) -> Column:
+    return F.date_format(instant, "yyyy-MM")
 
 
 class SnapshotWriter:
@@ -48,11 +64,24 @@ class SnapshotWriter:
             raise ValueError(f"{self.folder} exists: every run needs a run_id of its own")
 
     def write(self, layer: str, table: str, df: DataFrame) -> DataFrame:
-        """Write a table, and read it back: what follows does not compute it again."""
+        """Write a table, fingerprint it on the way, and read it back: what follows does not compute it
+        again. A partitioned table is dealt out by month first; AQE splits months with many rows
+        and joins those with few, so that neither tasks nor files grow with a hot month."""
         path = f"{self.folder}/{layer}/{table}"
-        count = write_table(df, path)
-        self._written.append((self.run_id, layer, table, count, df.schema.json()))
-        return self.spark.read.schema(df.schema).parquet(path)
+        groups, seen = _groups(layer, table, df.columns), Observation()
+        column = MONTH_OF.get(table) if layer == "main" else None
+        column = column if column in df.columns else None
+        rows = df.observe(seen, *digests.measures(groups))
+        if column:
+            rows = rows.withColumn(MONTH, _month(F.col(column))).hint("rebalance", F.col(MONTH))
+            rows.write.partitionBy(MONTH).parquet(path)
+        else:
+            rows.write.parquet(path)
+        measured = seen.get
+        self._written.append((
+            self.run_id, layer, table, measured[digests.ROWS], df.schema.json(), digests.digests(measured, groups), column,
+        ))
+        return _read(self.spark, path, df.schema, column).select(*df.columns)
 
     def largest_bytes(self) -> int:
         """Size of the largest table that was written."""
@@ -64,20 +93,117 @@ class SnapshotWriter:
         manifest.coalesce(1).write.json(f"{self.folder}/{_MANIFEST}")
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType, month_of: str | None) -> DataFrame:
+    if month_of:
+        schema = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+class Snapshot(dict):
+    """Tables of a finished run by name. :meth:`between` reads a period of one."""
+
+    def __init__(self):
+        super().__init__()
+        self._by_month: dict[str, tuple[DataFrame, str]] = {}
+
+    def add(self, name: str, stored: DataFrame, month_of: str | None) -> None:
+        self[name] = stored.drop(MONTH) if month_of else stored
+        if month_of:
+            self._by_month[name] = stored, month_of
+
+    def between(self, name: str, column: str, start: Day, end: Day) -> DataFrame:
+        """Rows with ``start <= column < end``; a bound that is None does not count. If the table is
+        partitioned by the month of that column, only the months of the period are read: none of rows
+        without a date, which have a partition of their own."""
+        stored, month_of = self._by_month.get(name, (self[name], None))
+        if column == month_of:
+            if start is not None:
+                stored = stored.filter(F.col(MONTH) >= _month(instant(start)))
+            if end is not None:
+                stored = stored.filter(F.col(MONTH) <= _month(instant(end) - F.expr("INTERVAL 1 MICROSECOND")))
+        return period(stored, column, start, end).select(*self[name].columns)
+
+
+def instant(bound: Day) -> Column:
+    return F.lit(str(bound)).cast("timestamp")
+
+
+def period(df: DataFrame, column: str, start: Day, end: Day) -> DataFrame:
+    """Rows with ``start <= column < end``."""
+    if start is not None:
+        df = df.filter(F.col(column) >= instant(start))
+    if end is not None:
+        df = df.filter(F.col(column) < instant(end))
+    return df
+
+
 def read_manifest(spark: SparkSession, run_folder: str) -> DataFrame:
     return spark.read.schema(_MANIFEST_SCHEMA).json(f"{run_folder.rstrip('/')}/{_MANIFEST}")
 
 
 def read_snapshot(
     spark: SparkSession, run_folder: str, layer: str = "main", verify: bool = False
-) -> dict[str, DataFrame]:
-    """The tables of one layer of a finished run. ``verify`` counts their rows again."""
+) -> Snapshot:
+    """The tables of one layer of a finished run. ``verify`` reads them all and compares their
+    fingerprints with the manifest's."""
     run_folder = run_folder.rstrip("/")
-    tables = {}
+    tables = Snapshot()
     for entry in read_manifest(spark, run_folder).filter(F.col("layer") == layer).collect():
         schema = T.StructType.fromJson(json.loads(entry.table_schema))
-        table = spark.read.schema(schema).parquet(f"{run_folder}/{layer}/{entry.table_name}")
-        if verify and (count := table.count()) != entry.row_count:
-            raise ValueError(f"{entry.table_name} has {count} rows, not {entry.row_count}")
-        tables[entry.table_name] = table
+        stored = _read(spark, f"{run_folder}/{layer}/{entry.table_name}", schema, entry.month_of)
+        tables.add(entry.table_name, stored, entry.month_of)
+        if verify:
+            _verify(tables[entry.table_name], entry)
     return tables
+
+
+def _verify(table: DataFrame, entry) -> None:
+    name = entry.table_name
+    count, found = digests.fingerprint(table, _groups(entry.layer, name, table.columns))
+    if count != entry.row_count:
+        raise ValueError(f"{name} has {count} rows, not {entry.row_count}")
+    wrong = sorted(g for g, d in (entry.digests or {}).items() if found.get(g) != d)
+    if wrong:
+        what = "keys" if "key" in wrong else "values"
+        raise ValueError(f"{name} has other {what} than were written")
+
+
+def compare_runs(spark: SparkSession, one: str, other: str) -> DataFrame:
+    """layer, table_name, and what differs between two runs: ``rows_before``, ``rows_after``, ``same_keys``
+    (NULL without a key) and ``same_values``. Only the manifests are read, whatever the tables' size."""
+    def side(folder: str, name: str) -> DataFrame:
+        return read_manifest(spark, folder).select(
+            "layer", "table_name", F.col("row_count").alias(f"rows_{name}"),
+            F.col("digests")["key"].alias(f"key_{name}"), F.col("digests")["row"].alias(f"row_{name}"),
+        )
+
+    both = side(one, "before").join(side(other, "after"), ["layer", "table_name"], "full")
+    return both.select(
+        "layer", "table_name", "rows_before", "rows_after",
+        (F.col("key_before") == F.col("key_after")).alias("same_keys"),
+        F.coalesce((F.col("row_before") == F.col("row_after")) & (F.col("rows_before") == F.col("rows_after")), F.lit(False)).alias("same_values"),
+    )
+
+
+# ---- the journal of all runs --------------------------------------------------------------
+
+
+def append_journal(rejects: DataFrame, folder: str, run_id: str) -> None:
+    """Add the journal of a run to that of all runs, below ``folder``: a partition for each run.
+
+    A run that is added again replaces its own entries and no others, also by none at all.
+    """
+    entries = rejects.filter(F.col("run_id") == run_id)
+    writer = entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if entries.isEmpty():
+        delete_path(rejects.sparkSession, f"{folder.rstrip('/')}/run_id={run_id}")
+    else:
+        writer.partitionBy("run_id").parquet(folder)
+
+
+def read_journal(spark: SparkSession, folder: str) -> DataFrame:
+    """The entries of all runs in the columns of the journal. A filter on ``run_id`` reads only its runs."""
+    schema = TABLES["rejects"].schema
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
