@@ -27,7 +27,9 @@ from dealtide.plans.cleaning import Options
 from dealtide.plans.refresh import Cleaned, refresh
 from dealtide.session import prepare, shared_folder, store
 from dealtide.sources.exports import read_raw
-from dealtide.sources.snapshot import SnapshotWriter, read_manifest, read_snapshot
+from dealtide.sources.snapshot import (
+    SnapshotWriter, append_journal, compare_runs, read_journal, read_manifest, read_snapshot,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +38,17 @@ QUERIES: dict[str, Query] = {}
 AS_OF_DELAYS = "2001-12-01"
 AS_OF_EVENTS = "2024-02-07"
 PERIOD = ("1997-01-01", "1999-01-01")
+#: A total over each view.
+VIEW_TOTALS = {
+    "v_funnel": "sum(CAST(amount_total AS DECIMAL(18, 2)))",
+    "v_managers": "sum(CAST(revenue AS DECIMAL(18, 2)))",
+    "v_receivables": "sum(CAST(remaining AS DECIMAL(18, 2)))",
+    "v_production_delays": "sum(delay_days)",
+    "v_stale_deals": "count(last_activity_at)",
+    "v_sources": "sum(CAST(net AS DECIMAL(18, 2)))",
+    "v_data_quality": "sum(cnt)",
+    "v_data_quality_detail": "sum(length(reason))",
+}
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -370,14 +383,14 @@ def journal_rules(spark, sf_dir):
 def journal_detail(spark, sf_dir):
     """Defects of all raw tables, one by one, with their source row."""
     found = _cleaned(spark, sf_dir).entries(*JOURNALLED)
-    return found.select("severity", "source_table", "record_key", "rule_id", "raw_data")
+    return found.select("severity", "source_table", "record_key", "rule_id", "reason", "raw_data")
 
 
 @query
 def journal_errors(spark, sf_dir):
     """Only the errors: the rows of all raw tables that were dropped for one."""
     tables = _journal_tables(spark, sf_dir, *JOURNALLED)
-    return reports.defect_detail(tables, severity="error").drop("reason")
+    return reports.defect_detail(tables, severity="error")
 
 
 @query
@@ -390,6 +403,19 @@ def journal_ids(spark, sf_dir):
     )
 
 
+@query
+def journal_runs(spark, sf_dir):
+    """The journal of two runs, of which one is added twice: each counts once."""
+    cleaned = _cleaned(spark, sf_dir)
+    folder = f"{shared_folder(spark)}/journals/{uuid.uuid4().hex}"
+    for run_id, tables in (("one", ["deals"]), ("two", ["payments", "products"]), ("one", ["payments", "contacts"])):
+        append_journal(store(journal(cleaned.entries(*tables), run_id))[0], folder, run_id)
+    log = {"rejects": read_journal(spark, folder)}
+    return union_all([
+        reports.defect_summary(log, run_id=run_id).withColumn("run_id", F.lit(run_id)) for run_id in ("one", "two")
+    ])
+
+
 # ---- expectations -------------------------------------------------------------------------
 
 
@@ -529,15 +555,42 @@ def report_cleaned_sources(spark, sf_dir):
 
 @query
 def report_views(spark, sf_dir):
-    """The funnel and receivables through their views."""
+    """Rows and a total of each of the eight views, with the journal of all raw tables."""
+    tables = main_feed(spark, sf_dir)
+    tables["rejects"] = journal(_cleaned(spark, sf_dir).entries(*JOURNALLED), "run")
+    reports.register_views(spark, tables, AS_OF_EVENTS)
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{view}' AS view_name, count(*) AS row_count, CAST({total} AS DOUBLE) AS total FROM {view}"
+        for view, total in VIEW_TOTALS.items()
+    ))
+
+
+def _stored(spark, sf_dir, *names):
+    """Typed tables written as a snapshot and read back."""
     tables = main_feed(spark, sf_dir)
-    tables["rejects"] = _cleaned(spark, sf_dir).entries("payments")
-    reports.register_views(spark, tables, AS_OF_DELAYS)
-    return spark.sql("""
-        SELECT r.stage_id, f.deals_count, count(*) AS receivable_count,
-               sum(r.remaining) AS remaining
-        FROM v_receivables r JOIN v_funnel f ON f.stage_id = r.stage_id
-        GROUP BY r.stage_id, f.deals_count""")
+    out = SnapshotWriter(spark, f"{shared_folder(spark)}/snapshots", uuid.uuid4().hex)
+    for table in names:
+        out.write("main", table, tables[table])
+    out.finish()
+    return read_snapshot(spark, out.folder)
+
+
+@query
+def stored_funnel_period(spark, sf_dir):
+    """The funnel of a period from stored tables: only the months of the period are read."""
+    return reports.funnel(_stored(spark, sf_dir, "deals", "pipeline_stages"), *PERIOD).drop("stage_name")
+
+
+@query
+def stored_managers_won(spark, sf_dir):
+    names = ("deals", "pipeline_stages", "users", "deal_products", "products")
+    return reports.managers(_stored(spark, sf_dir, *names), *PERIOD, won=True)
+
+
+@query
+def stored_sources_romi(spark, sf_dir):
+    names = ("sources", "deals", "deal_products", "products", "marketing_costs")
+    return reports.lead_sources(_stored(spark, sf_dir, *names), *PERIOD, with_romi=True)
 
 
 # ---- quality ------------------------------------------------------------------------------
@@ -672,4 +725,50 @@ def refresh_manifest(spark, sf_dir):
     return read_manifest(spark, run).select("layer", "table_name", "row_count")
 
 
+#: Tables of a refresh: what a row is called, and the amount that is summed up. Generated ids cannot be
+#: named in SQL; of lines with the same key the checks keep one.
+REFRESHED = {
+    "sources": ("source_id", None), "users": ("user_id", None), "pipeline_stages": ("stage_id", None),
+    "companies": ("company_id", None), "products": ("product_id", "cost_price"), "contacts": ("contact_id", None),
+    "marketing_costs": ("source_id", "cost_amount"), "deals": ("deal_id", "expected_amount"),
+    "deal_products": ("deal_id || '/' || product_id", None), "payments": ("payment_id", "amount"),
+    "activities": ("activity_id", None), "stage_history": ("event_id", None),
+    "production_orders": ("production_order_id", None), "shipments": ("shipment_id", None),
+}
+
+
+@query
+def refresh_tables(spark, sf_dir):
+    """Keys and amounts of all tables of a full refresh, read back and held against the manifest."""
+    raw = raw_feed(spark, sf_dir).load_all()
+    run = refresh(spark, raw, f"{shared_folder(spark)}/runs", constraints="quarantine")
+    tables = read_snapshot(spark, run, verify=True)
+    return union_all([
+        tables[table].agg(
+            F.count("*").alias("row_count"),
+            F.expr(f"sum(CAST(conv(substr(md5({key}), 1, 8), 16, 10) AS BIGINT))").alias("key_sum"),
+            F.expr(f"CAST({f'sum({amount})' if amount else 'NULL'} AS DOUBLE)").alias("amount_sum"),
+        ).withColumn("table_name", F.lit(table))
+        for table, (key, amount) in REFRESHED.items()
+    ])
+
+
+@query
+def snapshot_changes(spark, sf_dir):
+    """What differs between two snapshots, by their manifests: values of deals, rows of payments."""
+    tables, folders = main_feed(spark, sf_dir), []
+    changed = {
+        "users": tables["users"].repartition(3),
+        "deals": tables["deals"].withColumn("expected_amount", F.round(F.col("expected_amount"), 0).cast("decimal(14,2)")),
+        "payments": tables["payments"].filter(F.col("status") == "paid"),
+    }
+    for given in (tables, changed):
+        out = SnapshotWriter(spark, f"{shared_folder(spark)}/snapshots", uuid.uuid4().hex)
+        for table in changed:
+            out.write("main", table, given[table])
+        out.finish()
+        folders.append(out.folder)
+    return compare_runs(spark, *folders)
+
+
 __all__ = ["QUERIES", "plain"]

@@ -1,12 +1,17 @@
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
 
 from dealtide.model import RAW_COLUMNS
 from dealtide.session import shared_folder, store
 from dealtide.sources.exports import read_raw
-from dealtide.sources.snapshot import SnapshotWriter, read_manifest, read_snapshot
+from dealtide.operators import digests
+from dealtide.plans import reports
+from dealtide.sources.snapshot import (
+    MONTH, SnapshotWriter, append_journal, compare_runs, read_journal, read_manifest, read_snapshot,
+)
 
 HEADER = "product_id,sku,name,category,cost_price,is_active\n"
 
@@ -110,3 +115,132 @@ def test_a_refresh_leaves_no_intermediate_tables(spark, raw, tmp_path):
     assert read_snapshot(spark, run, verify=True)["deals"].count() > 0
     with pytest.raises(ValueError, match="exists"):
         refresh(spark, raw, str(tmp_path), run_id="one")
+
+
+# ---- fingerprints -------------------------------------------------------------------------
+
+
+def snapshot_of(spark, folder, run_id, **tables):
+    out = SnapshotWriter(spark, str(folder), run_id)
+    for name, df in tables.items():
+        out.write("main", name, df)
+    out.finish()
+    return out.folder
+
+
+def test_fingerprints_do_not_depend_on_order_or_partitions(spark, tables):
+    for name in ("deals", "payments", "rejects"):
+        groups = digests.groups_of(tables[name].columns)
+        one = digests.fingerprint(tables[name].coalesce(1), groups)
+        assert one == digests.fingerprint(tables[name].repartition(5).sortWithinPartitions(tables[name].columns[-1]), groups)
+
+
+@pytest.mark.parametrize("changed", [
+    [("a", "x"), ("b", "y"), ("b", "y"), ("c", None)],  # a copy of another row
+    [("a", "x"), ("a", "x"), ("b", "y"), (None, "c")],  # a value in the other column
+    [("a", "x"), ("a", "x"), ("b", "y"), ("c", "")],  # empty in place of NULL
+    [("a", "x"), ("a", "y"), ("b", "x"), ("c", None)],  # values swapped between rows
+    [("x", "a"), ("a", "x"), ("b", "y"), ("c", None)],  # and within a row
+])
+def test_fingerprints_see_every_change(spark, changed):
+    groups = digests.groups_of(["k", "v"])
+    given = [("a", "x"), ("a", "x"), ("b", "y"), ("c", None)]
+    one, other = (digests.fingerprint(spark.createDataFrame(r, "k string, v string"), groups) for r in (given, changed))
+    assert one[0] == other[0] and one[1] != other[1]
+
+
+def test_fingerprints_are_sums_modulo_64_bits(spark):
+    """Three partial sums give the sum of whole hashes, however many rows there are."""
+    df = spark.range(1000).select(F.col("id").cast("string").alias("v"))
+    seeds = [
+        sum(r[0] % (1 << 64) for r in df.select(digests._hash(["v"], seed)).collect()) % (1 << 64)
+        for seed in ("first", "second")
+    ]
+    assert digests.fingerprint(df, {"row": ["v"]}) == (1000, {"row": "".join(f"{s:016x}" for s in seeds)})
+    assert digests.fingerprint(df.limit(0), {"row": ["v"]}) == (0, {"row": "0" * 32})
+
+
+@pytest.mark.parametrize("column, value, message", [
+    ("name", "'another'", "users has other values"), ("user_id", "concat(user_id, 'x')", "users has other keys"),
+])
+def test_verifying_a_snapshot_finds_one_changed_value(spark, tables, tmp_path, column, value, message):
+    folder = snapshot_of(spark, tmp_path, "run", users=tables["users"])
+    assert read_snapshot(spark, folder, verify=True)["users"].count() > 1
+    first = F.col("user_id") == tables["users"].agg(F.min("user_id")).first()[0]
+    changed = tables["users"].withColumn(column, F.when(first, F.expr(value)).otherwise(F.col(column)))
+    changed.write.mode("overwrite").parquet(f"{folder}/main/users")
+    with pytest.raises(ValueError, match=message):
+        read_snapshot(spark, folder, verify=True)
+
+
+def test_runs_are_compared_by_their_manifests(spark, tables, tmp_path):
+    one = snapshot_of(spark, tmp_path, "one", users=tables["users"], deals=tables["deals"])
+    other = snapshot_of(spark, tmp_path, "two", users=tables["users"].limit(1), payments=tables["payments"])
+    n, p = tables["users"].count(), tables["payments"].count()
+    found = compare_runs(spark, one, other)
+    assert rows(found, "table_name", "rows_before", "rows_after", "same_keys", "same_values") == rows(spark.createDataFrame(
+        [("deals", tables["deals"].count(), None, None, False), ("payments", None, p, None, False), ("users", n, 1, False, False)],
+        "table_name string, b long, a long, k boolean, v boolean"))
+
+
+# ---- tables by month ----------------------------------------------------------------------
+
+
+def test_a_period_reads_only_its_months(spark, tmp_path):
+    days = ["2024-01-31 23:59:59", "2024-02-01 00:00:00", "2024-02-29 12:00:00", "2024-03-01 00:00:00", "2025-02-01 00:00:00", None]
+    deals = spark.createDataFrame([(str(n), d) for n, d in enumerate(days)], "deal_id string, d string").select(
+        "deal_id", F.col("d").cast("timestamp").alias("created_at"))
+    stored = read_snapshot(spark, snapshot_of(spark, tmp_path, "run", deals=deals), verify=True)
+    assert stored["deals"].columns == ["deal_id", "created_at"] and rows(stored["deals"]) == rows(deals)
+    assert (tmp_path / "run/main/deals" / f"{MONTH}=__HIVE_DEFAULT_PARTITION__").exists()
+    for start, end, expected, months in (
+        ("2024-02-01", "2024-03-01", "12", {"2024-02"}), ("2024-02-01", "2024-03-02", "123", {"2024-02", "2024-03"}),
+        (None, "2024-02-01", "0", {"2024-01"}), ("2024-03-01", None, "34", {"2024-03", "2025-02"}),
+        ("2023-01-01", "2023-06-01", "", set()),
+    ):
+        part = stored.between("deals", "created_at", start, end)
+        assert sorted(r["deal_id"] for r in part.collect()) == list(expected)
+        plan = plan_of(part)
+        assert f"PartitionFilters: [isnotnull({MONTH}" in plan
+        scanned = spark.read.parquet(f"{tmp_path}/run/main/deals")
+        if start:
+            scanned = scanned.filter(F.col(MONTH) >= start[:7])
+        if end:
+            scanned = scanned.filter(F.col(MONTH) < end[:7] if end.endswith("-01") else F.col(MONTH) <= end[:7])
+        assert {r[MONTH] for r in scanned.select(MONTH).distinct().collect()} == months
+    unbounded = stored.between("deals", "created_at", None, None)
+    assert rows(unbounded) == rows(deals)
+
+
+def test_period_reports_filter_partitions(tables):
+    for report in (
+        reports.funnel(tables, "2025-03-03", "2025-03-05"), reports.managers(tables, "2025-03-01", None, won=True),
+        reports.lead_sources(tables, None, "2025-04-01", with_romi=True),
+    ):
+        scans = [x for x in plan_of(report).splitlines() if "main/deals" in x or "main/marketing_costs" in x]
+        assert scans and all(f"PartitionFilters: [isnotnull({MONTH}" in x for x in scans if "created_at" in x or "cost_date" in x)
+        assert any(MONTH in x for x in scans)
+
+
+# ---- the journal of all runs --------------------------------------------------------------
+
+
+def test_a_run_replaces_its_own_journal_entries_only(spark, tables, tmp_path):
+    folder = str(tmp_path / "journal")
+    assert read_journal(spark, folder).count() == 0
+    log = tables["rejects"]
+    one, two = log.withColumn("run_id", F.lit("one")), log.limit(3).withColumn("run_id", F.lit("two"))
+    for entries, run_id in ((one, "one"), (two, "two"), (one.limit(2), "one"), (one, "one")):
+        append_journal(entries, folder, run_id)
+    assert rows(read_journal(spark, folder)) == rows(one.unionByName(two))
+    plan = plan_of(reports.defect_summary({"rejects": read_journal(spark, folder)}, run_id="two"))
+    assert "PartitionFilters: [isnotnull(run_id" in plan
+    summed = reports.defect_detail({"rejects": read_journal(spark, folder)}, run_id="two")
+    assert summed.count() == 3
+    append_journal(one.limit(0), folder, "one")
+    assert rows(read_journal(spark, folder)) == rows(two)
+
+
+def test_a_refresh_adds_to_the_journal_of_all_runs(spark, run_folder, tables):
+    log = read_journal(spark, f"{Path(run_folder).parent}/_journal")
+    assert rows(log.filter("run_id = 'run-1'")) == rows(tables["rejects"])
