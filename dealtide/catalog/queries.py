@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from dealtide.catalog.feed import awkward_field, base, broken_feed, main_feed, raw_feed
 from dealtide.functions import local_date, parse_date, parse_ts, source_key
-from dealtide.model import RAW_COLUMNS
+from dealtide.model import RAW_COLUMNS, TABLES
 from dealtide.operators import expectations
 from dealtide.operators.duplicates import keep_first, mark_duplicates
 from dealtide.operators.findings import entries, journal
@@ -22,7 +22,7 @@ from dealtide.operators.references import (
     mark_known, mark_known_by_exceptions, parent_keys,
 )
 from dealtide.operators.unions import union_all
-from dealtide.plans import quality, reports
+from dealtide.plans import quality, reports, sql
 from dealtide.plans.cleaning import Options
 from dealtide.plans.refresh import Cleaned, refresh
 from dealtide.session import prepare, shared_folder, store
@@ -129,9 +129,8 @@ def clean_parse_zones(spark, sf_dir):
     )
 
 
-@query
-def clean_source_key(spark, sf_dir):
-    """Source keys of names, of texts of any length, and of Cyrillic spellings."""
+def _spellings(spark, sf_dir):
+    """Names, texts of any length, and Cyrillic spellings."""
     customer = base(spark, sf_dir, "customer")
     latin, cyrillic = "abvgdzijklmnoprstufhcye", "абвгдзийклмнопрстуфхцыэ"
     spelled = F.translate(F.lower("c_mktsegment"), latin, cyrillic)
@@ -146,9 +145,13 @@ def clean_source_key(spark, sf_dir):
             F.concat(F.lit("document "), F.col("doc_id").cast("string")).alias("row_id"),
             F.col("text").alias("spelling")),
     ]
-    return union_all(rows).select(
-        "row_id", source_key(F.col("spelling")).alias("source_key")
-    )
+    return union_all(rows)
+
+
+@query
+def clean_source_key(spark, sf_dir):
+    """Source keys of names, of texts of any length, and of Cyrillic spellings."""
+    return _spellings(spark, sf_dir).select("row_id", source_key(F.col("spelling")).alias("source_key"))
 
 
 # ---- cleaning, one query per table --------------------------------------------------------
@@ -593,6 +596,61 @@ def stored_sources_romi(spark, sf_dir):
     return reports.lead_sources(_stored(spark, sf_dir, *names), *PERIOD, with_romi=True)
 
 
+def _sql(spark, sf_dir, query, *journalled):
+    """A query on the table functions, over typed tables and the journal of some raw tables."""
+    tables = main_feed(spark, sf_dir)
+    found = _cleaned(spark, sf_dir).entries(*journalled) if journalled else None
+    tables["rejects"] = journal(found, "run") if found else spark.createDataFrame([], TABLES["rejects"].schema)
+    sql.register(spark, tables)
+    return spark.sql(query)
+
+
+_SQL_PERIOD = f"timestamp'{PERIOD[0]}', timestamp'{PERIOD[1]}'"
+
+
+@query
+def sql_funnel(spark, sf_dir):
+    return _sql(spark, sf_dir, f"SELECT * EXCEPT (stage_name) FROM funnel({_SQL_PERIOD})")
+
+
+@query
+def sql_managers(spark, sf_dir):
+    return _sql(spark, sf_dir, f"SELECT * FROM managers({_SQL_PERIOD}, won => true)")
+
+
+@query
+def sql_receivables(spark, sf_dir):
+    return _sql(spark, sf_dir, "SELECT * FROM receivables(min_remaining => 250000)")
+
+
+@query
+def sql_delays(spark, sf_dir):
+    return _sql(spark, sf_dir, f"SELECT * FROM production_delays(date'{AS_OF_DELAYS}', 365)")
+
+
+@query
+def sql_stale(spark, sf_dir):
+    return _sql(spark, sf_dir, f"SELECT * FROM stale_deals(date'{AS_OF_EVENTS}', days => 2)")
+
+
+@query
+def sql_sources(spark, sf_dir):
+    return _sql(spark, sf_dir, f"SELECT * FROM lead_sources({_SQL_PERIOD})")
+
+
+@query
+def sql_defects(spark, sf_dir):
+    return _sql(spark, sf_dir, "SELECT * FROM defects() UNION ALL SELECT * FROM defects('error')", *JOURNALLED)
+
+
+@query
+def sql_source_key(spark, sf_dir):
+    """The same keys by the SQL function."""
+    sql.register_text_functions(spark)
+    _spellings(spark, sf_dir).createOrReplaceTempView("spellings")
+    return spark.sql("SELECT row_id, source_key(spelling) AS source_key FROM spellings")
+
+
 # ---- quality ------------------------------------------------------------------------------
 
 

@@ -111,6 +111,10 @@ class Snapshot(dict):
         if month_of:
             self._by_month[name] = stored, month_of
 
+    def stored(self, name: str) -> DataFrame:
+        """A table as it is stored: with the month that it is partitioned by, if there is one."""
+        return self._by_month[name][0] if name in self._by_month else self[name]
+
     def between(self, name: str, column: str, start: Day, end: Day) -> DataFrame:
         """Rows with ``start <= column < end``; a bound that is None does not count. If the table is
         partitioned by the month of that column, only the months of the period are read: none of rows
