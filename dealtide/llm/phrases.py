@@ -11,6 +11,7 @@ partition's; n-grams that meet there can only survive together.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -216,9 +217,9 @@ def _joined(words, begin, length):
     return F.array_join(F.slice(words, begin, length), " ")
 
 
-def collocations(docs: DataFrame, threshold: int = 100, longest: int = 5, first: int | None = 2000) -> DataFrame:
+def collocations(docs: DataFrame, threshold: int = 100, longest: int = 5, first: int = 2000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: phrases of two to ``longest`` words that stand together more often
-    than their parts would by chance, the ``first`` of each language (None: all).
+    than their parts would by chance, the ``first`` of each language.
 
     Words stand between spaces and tabs within pieces, which end at ``. , ; : ! ?`` and line ends; A-Z count as
     a-z. A phrase occurs ``a`` times; cut in two, its parts occur ``l`` and ``r`` times, of ``n`` words. The score
@@ -252,8 +253,12 @@ def collocations(docs: DataFrame, threshold: int = 100, longest: int = 5, first:
         "lang", "a", F.explode(F.array(_joined(words, F.lit(1), F.col("size") - 1), _joined(words, F.lit(2), F.col("size") - 1))).alias("phrase")
     ).groupBy("lang", "phrase").agg(F.max("a").alias("inside"))
     kept = scored.join(longer, ["lang", "phrase"], "left").filter("inside IS NULL OR inside < a")
-    order = Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order))
-    if first is not None:
-        ranked = ranked.filter(F.col("rank") <= first)
+    # A language is ranked in parts first, of which the best go on: as many parts as balance the rows of a
+    # part with those that go on.
+    parts_of_lang = max(1, math.isqrt(phrases.count() // first))
+    order = (F.desc("best.score"), F.desc("a"), "phrase")
+    kept = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts_of_lang)))
+    within = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    best = kept.withColumn("place", within).filter(F.col("place") <= first)
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= first)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "best.l", "best.r", "n", "best.score")

@@ -116,9 +116,14 @@ def test_collocations_against_all_counts(spark, monkeypatch):
         pieces = [[*[f"w{int(rng.expovariate(0.1))}" for _ in range(rng.randrange(6))], *rng.choice(fixed)] for _ in range(4)]
         rows.append((("aa", "bb", None)[n % 7 % 3], pieces))
     df = spark.createDataFrame([("; ".join("  ".join(p).upper() for p in ps) + "\n", lang) for lang, ps in rows], "text string, lang string")
-    found = {(r["lang"], r["phrase"]): tuple(r)[3:] for r in phrases.collocations(df.repartition(4), 20, 5, None).collect()}
+    found = {(r["lang"], r["phrase"]): tuple(r)[3:] for r in phrases.collocations(df.repartition(4), 20, 5, 10_000).collect()}
     expected = _collocations([(lang or "und", ps) for lang, ps in rows], 20, 5)
     assert found == expected and len(expected) > 30
+    # Ranked in parts: the first two of each language.
+    few = {(r["lang"], r["rank"]): r["phrase"] for r in phrases.collocations(df, 20, 5, 2).collect()}
+    for lang in ("aa", "bb", "und"):
+        line = sorted((-v[4], -v[0], p.encode(), p) for (x, p), v in expected.items() if x == lang)
+        assert [few[lang, rank] for rank in (1, 2)] == [x[3] for x in line[:2]] and (lang, 3) not in few
 
 
 def test_scores_beyond_64_bits(spark, monkeypatch):
