@@ -25,7 +25,7 @@ from dealtide.operators.unions import union_all
 from dealtide.plans import quality, reports, sql
 from dealtide.plans.cleaning import Options
 from dealtide.plans.refresh import Cleaned, refresh
-from dealtide.session import prepare, shared_folder, store
+from dealtide.session import path_bytes, prepare, shared_folder, store
 from dealtide.sources.exports import read_raw
 from dealtide.sources.snapshot import (
     SnapshotWriter, append_journal, compare_runs, read_journal, read_manifest, read_snapshot,
@@ -596,6 +596,41 @@ def stored_sources_romi(spark, sf_dir):
     return reports.lead_sources(_stored(spark, sf_dir, *names), *PERIOD, with_romi=True)
 
 
+def _bucketed(spark, sf_dir, feed, *names):
+    """Typed tables written in buckets by deal, as many as the lines ask for, and read back."""
+    out = SnapshotWriter(spark, f"{shared_folder(spark)}/snapshots", uuid.uuid4().hex)
+    out.use_buckets(path_bytes(spark, f"{sf_dir}/lineitem.parquet"), least=2)
+    for table in names:
+        out.write("main", table, feed[table])
+    out.finish()
+    return read_snapshot(spark, out.folder)
+
+
+@query
+def stored_economics(spark, sf_dir):
+    """Revenue and cost of each deal from stored lines: grouped without a shuffle."""
+    return reports.deal_economics(_bucketed(spark, sf_dir, main_feed(spark, sf_dir), "deal_products", "products"))
+
+
+@query
+def stored_receivables(spark, sf_dir):
+    """Receivables from stored deals and payments: joined bucket by bucket."""
+    return reports.receivables(_bucketed(spark, sf_dir, main_feed(spark, sf_dir), "deals", "payments"))
+
+
+@query
+def stored_stale(spark, sf_dir):
+    names = ("deals", "activities", "pipeline_stages")
+    return reports.stale_deals(_bucketed(spark, sf_dir, main_feed(spark, sf_dir), *names), AS_OF_EVENTS)
+
+
+@query
+def stored_checks(spark, sf_dir):
+    """Broken constraints of stored tables: children of deals are held against their bucket of deals."""
+    feed = broken_feed(spark, sf_dir).load_all()
+    return expectations.check(_bucketed(spark, sf_dir, feed, *feed))
+
+
 def _sql(spark, sf_dir, query, *journalled):
     """A query on the table functions, over typed tables and the journal of some raw tables."""
     tables = main_feed(spark, sf_dir)

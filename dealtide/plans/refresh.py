@@ -132,7 +132,7 @@ def refresh(
     prepare(spark)
     run_id = run_id or uuid.uuid4().hex
     out = SnapshotWriter(spark, folder, run_id)
-    main: dict[str, DataFrame] = {}
+    main = out.tables
     found: list[DataFrame] = []
 
     def build(table: str) -> None:
@@ -146,17 +146,18 @@ def refresh(
             checked, _ = store(expectations.quarantine(rows, table, main))
             found.append(entries(checked, table))
             rows = accepted(checked)
-        main[table] = out.write("main", table, rows)
+        out.write("main", table, rows)
 
     with stored_until_done(spark), ThreadPoolExecutor(JOBS_AT_ONCE) as jobs:
         raw = dict(jobs.map(lambda item: (item[0], out.write("raw", *item)), raw.items()))
         size_shuffles(spark, SHUFFLED_PER_STORED * out.largest_bytes())
+        out.use_buckets()
         for level in LEVELS:
             list(jobs.map(build, level))
             if constraints == "fail":
                 expectations.enforce(main, level)
         log = journal(union_all(found), run_id, logged_at)
-        main["rejects"] = out.write("main", "rejects", log)
+        out.write("main", "rejects", log)
         expectations.enforce(main, ["rejects"])
         out.finish()
     append_journal(main["rejects"], f"{folder.rstrip('/')}/{JOURNAL}", run_id)

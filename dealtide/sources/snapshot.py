@@ -6,12 +6,16 @@ table, measured while it was written.
 
 Tables that reports read by period are partitioned by the month of a date, in place of an index on it.
 The month is not a column of the table: :meth:`Snapshot.between` filters by it before it is left out.
+
+Deals and their children can be bucketed by ``deal_id``, in place of an index on it: they are joined and
+grouped by it without a shuffle. A table whose buckets a hot deal makes uneven is read without them.
 """
 
 from __future__ import annotations
 
 import datetime
 import json
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +24,7 @@ from pyspark.sql import types as T
 from dealtide.model import TABLES
 from dealtide.operators import digests
 from dealtide.session import delete_path, path_bytes, path_exists
+from dealtide.sources import buckets as bucketed
 
 _MANIFEST = "_manifest"
 _MANIFEST_SCHEMA = T.StructType([
@@ -30,12 +35,24 @@ _MANIFEST_SCHEMA = T.StructType([
     T.StructField("table_schema", T.StringType(), False),
     T.StructField("digests", T.MapType(T.StringType(), T.StringType()), True),
     T.StructField("month_of", T.StringType(), True),
+    T.StructField("bucket_of", T.StringType(), True),
+    T.StructField("buckets", T.IntegerType(), True),
 ])
 
 #: Tables of the layer ``main`` that are partitioned, and the column whose month it is.
 MONTH_OF = {"deals": "created_at", "marketing_costs": "cost_date"}
 MONTH = "_month"
 
+#: Tables of the layer ``main`` that can be bucketed, and the column.
+BUCKET_OF = {
+    table: "deal_id"
+    for table in (
+        "deals", "deal_products", "payments", "activities", "stage_history", "production_orders", "shipments",
+    )
+}
+#: Bytes of the largest table in each bucket.
+BUCKET_BYTES = 64 * 1024 * 1024
+
 Day = datetime.date | datetime.datetime | str | None
 
 
@@ -48,17 +65,29 @@ def _month(instant: Column) -> Column:
     return F.date_format(instant, "yyyy-MM")
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How a table is stored: by the month of a date, and in buckets of a key."""
+
+    month_of: str | None = None
+    bucket_of: str | None = None
+    buckets: int | None = None
+
+
 class SnapshotWriter:
     """Writes the tables of one run; :meth:`finish` makes the snapshot valid.
 
     A run has a folder of its own. One that exists is refused: its manifest, if there is one, tells
-    about other tables.
+    about other tables. ``buckets``: into how many the tables in :data:`BUCKET_OF` are divided, the same
+    number for all; None for none. ``tables``: what has been written of the layer ``main``.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, run_id: str):
+    def __init__(self, spark: SparkSession, folder: str, run_id: str, buckets: int | None = None):
         self.spark = spark
         self.folder = f"{folder.rstrip('/')}/{run_id}"
         self.run_id = run_id
+        self.buckets = buckets
+        self.tables = Snapshot()
         self._written: list[tuple] = []
         if path_exists(spark, self.folder):
             raise ValueError(f"{self.folder} exists: every run needs a run_id of its own")
@@ -66,22 +95,48 @@ class SnapshotWriter:
     def write(self, layer: str, table: str, df: DataFrame) -> DataFrame:
         """Write a table, fingerprint it on the way, and read it back: what follows does not compute it
         again. A partitioned table is dealt out by month first; AQE splits months with many rows
-        and joins those with few, so that neither tasks nor files grow with a hot month."""
+        and joins those with few, so that neither tasks nor files grow with a hot month. A bucketed one
+        is dealt out by its key, likewise."""
         path = f"{self.folder}/{layer}/{table}"
         groups, seen = _groups(layer, table, df.columns), Observation()
-        column = MONTH_OF.get(table) if layer == "main" else None
-        column = column if column in df.columns else None
+        layout = self._layout(layer, table, df.columns)
         rows = df.observe(seen, *digests.measures(groups))
-        if column:
-            rows = rows.withColumn(MONTH, _month(F.col(column))).hint("rebalance", F.col(MONTH))
-            rows.write.partitionBy(MONTH).parquet(path)
+        if layout.month_of:
+            rows = rows.withColumn(MONTH, _month(F.col(layout.month_of)))
+        partition = MONTH if layout.month_of else None
+        if layout.buckets:
+            bucketed.write_bucketed(rows, path, layout.bucket_of, layout.buckets, partition)
+            if not bucketed.are_even(self.spark, path, df.schema, layout.buckets):
+                layout = replace(layout, bucket_of=None, buckets=None)
+        elif partition:
+            rows.hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH).parquet(path)
         else:
             rows.write.parquet(path)
         measured = seen.get
         self._written.append((
-            self.run_id, layer, table, measured[digests.ROWS], df.schema.json(), digests.digests(measured, groups), column,
+            self.run_id, layer, table, measured[digests.ROWS], df.schema.json(), digests.digests(measured, groups),
+            layout.month_of, layout.bucket_of, layout.buckets,
         ))
-        return _read(self.spark, path, df.schema, column).select(*df.columns)
+        written = Snapshot() if layer != "main" else self.tables
+        written.add(table, _read(self.spark, path, df.schema, layout), layout)
+        return written[table]
+
+    def _layout(self, layer: str, table: str, columns: list[str]) -> Layout:
+        if layer != "main":
+            return Layout()
+        month_of, bucket_of = MONTH_OF.get(table), BUCKET_OF.get(table)
+        return Layout(
+            month_of if month_of in columns else None,
+            *((bucket_of, self.buckets) if self.buckets and bucket_of in columns else (None, None)),
+        )
+
+    def use_buckets(self, largest: int | None = None, least: int = 1) -> int:
+        """Choose the number of buckets by the size of the largest table, by default of those written so
+        far: a power of two, so that the buckets of a larger run are parts of those of a smaller one."""
+        largest = self.largest_bytes() if largest is None else largest
+        wanted = max(least, -(-largest // BUCKET_BYTES), 1)
+        self.buckets = 1 << (wanted - 1).bit_length()
+        return self.buckets
 
     def largest_bytes(self) -> int:
         """Size of the largest table that was written."""
@@ -93,9 +148,12 @@ class SnapshotWriter:
         manifest.coalesce(1).write.json(f"{self.folder}/{_MANIFEST}")
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, month_of: str | None) -> DataFrame:
-    if month_of:
+def _read(spark: SparkSession, path: str, schema: T.StructType, layout: Layout) -> DataFrame:
+    partition = MONTH if layout.month_of else None
+    if partition:
         schema = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
+    if layout.buckets:
+        return bucketed.read_bucketed(spark, path, schema, layout.bucket_of, layout.buckets, partition)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -105,11 +163,19 @@ class Snapshot(dict):
     def __init__(self):
         super().__init__()
         self._by_month: dict[str, tuple[DataFrame, str]] = {}
+        self._buckets: dict[str, tuple[str, int]] = {}
+
+    def add(self, name: str, stored: DataFrame, layout: Layout) -> None:
+        self[name] = stored.drop(MONTH) if layout.month_of else stored
+        if layout.month_of:
+            self._by_month[name] = stored, layout.month_of
+        if layout.buckets:
+            self._buckets[name] = layout.bucket_of, layout.buckets
 
-    def add(self, name: str, stored: DataFrame, month_of: str | None) -> None:
-        self[name] = stored.drop(MONTH) if month_of else stored
-        if month_of:
-            self._by_month[name] = stored, month_of
+    def together(self, name: str, column: str, other: str, key: str) -> bool:
+        """Do equal values of ``column`` and of the other table's ``key`` lie in the same bucket?"""
+        own, others = self._buckets.get(name), self._buckets.get(other)
+        return own is not None and others is not None and own[0] == column and others == (key, own[1])
 
     def stored(self, name: str) -> DataFrame:
         """A table as it is stored: with the month that it is partitioned by, if there is one."""
@@ -154,8 +220,9 @@ def read_snapshot(
     tables = Snapshot()
     for entry in read_manifest(spark, run_folder).filter(F.col("layer") == layer).collect():
         schema = T.StructType.fromJson(json.loads(entry.table_schema))
-        stored = _read(spark, f"{run_folder}/{layer}/{entry.table_name}", schema, entry.month_of)
-        tables.add(entry.table_name, stored, entry.month_of)
+        layout = Layout(entry.month_of, entry.bucket_of, entry.buckets)
+        stored = _read(spark, f"{run_folder}/{layer}/{entry.table_name}", schema, layout)
+        tables.add(entry.table_name, stored, layout)
         if verify:
             _verify(tables[entry.table_name], entry)
     return tables

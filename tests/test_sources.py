@@ -1,3 +1,4 @@
+import re
 from pathlib import Path
 
 import pytest
@@ -7,8 +8,9 @@ from pyspark.sql import functions as F
 from dealtide.model import RAW_COLUMNS
 from dealtide.session import shared_folder, store
 from dealtide.sources.exports import read_raw
-from dealtide.operators import digests
+from dealtide.operators import digests, expectations
 from dealtide.plans import reports
+from dealtide.sources import buckets
 from dealtide.sources.snapshot import (
     MONTH, SnapshotWriter, append_journal, compare_runs, read_journal, read_manifest, read_snapshot,
 )
@@ -244,3 +246,102 @@ def test_a_run_replaces_its_own_journal_entries_only(spark, tables, tmp_path):
 def test_a_refresh_adds_to_the_journal_of_all_runs(spark, run_folder, tables):
     log = read_journal(spark, f"{Path(run_folder).parent}/_journal")
     assert rows(log.filter("run_id = 'run-1'")) == rows(tables["rejects"])
+
+
+# ---- tables in buckets --------------------------------------------------------------------
+
+CHILDREN = ("deal_products", "payments", "activities", "stage_history", "production_orders", "shipments")
+
+
+@pytest.fixture(scope="module")
+def in_buckets(spark, tables, tmp_path_factory):
+    out = SnapshotWriter(spark, str(tmp_path_factory.mktemp("buckets")), "run", buckets=4)
+    for name, df in tables.items():
+        out.write("main", name, df)
+    out.finish()
+    return read_snapshot(spark, out.folder, verify=True)
+
+
+def shuffled_by_deal(df) -> bool:
+    return re.search(r"Exchange hashpartitioning\([^)]*(deal_id|_value|value)#", plan_of(df)) is not None
+
+
+def without_broadcast(spark, question):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return question()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_buckets_change_no_table_and_stay_out_of_the_catalog(spark, tables, in_buckets):
+    for name in tables:
+        assert in_buckets[name].columns == tables[name].columns
+        assert rows(in_buckets[name]) == rows(tables[name])
+        assert (name in CHILDREN or name == "deals") == in_buckets.together(name, "deal_id", "deals", "deal_id")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("dealtide_")]
+
+
+def test_deals_and_their_children_meet_without_a_shuffle(spark, tables, in_buckets):
+    names = (*CHILDREN, "deals", "pipeline_stages", "products")
+    unbucketed = {n: spark.createDataFrame(tables[n].collect(), tables[n].schema) for n in names}
+    for report in (
+        reports.receivables, reports.deal_economics, lambda t: reports.stale_deals(t, "2025-04-01"),
+    ):
+        local, moved = (
+            without_broadcast(spark, lambda t=t: (shuffled_by_deal(report(t)), rows(report(t))))
+            for t in ({**t, **{n: F.broadcast(t[n]) for n in ("products", "pipeline_stages")}} for t in (in_buckets, unbucketed))
+        )
+        assert not local[0] and moved[0]
+        assert local[1] == moved[1] and local[1]
+
+
+def test_months_are_still_pruned_in_buckets(in_buckets):
+    part = in_buckets.between("deals", "created_at", "2025-03-03", "2025-03-05")
+    assert f"PartitionFilters: [isnotnull({MONTH}" in plan_of(part)
+    whole = in_buckets["deals"].filter("created_at >= '2025-03-03' AND created_at < '2025-03-05'")
+    assert rows(part) == rows(whole) and rows(part)
+
+
+def test_children_are_checked_within_their_bucket(spark, tables, in_buckets):
+    found = expectations.check(in_buckets, [*CHILDREN, "deals"])
+    assert rows(found) == rows(expectations.check(dict(tables), [*CHILDREN, "deals"]))
+    [check] = expectations._checks_in_buckets(in_buckets, [(child, "deal_id", "deals") for child in CHILDREN])
+    assert check.count() == len(CHILDREN)
+    assert not without_broadcast(spark, lambda: shuffled_by_deal(check.select("*")))
+    assert plan_of(check).count("main/deals]") == 1
+
+
+def test_lost_children_are_counted_within_their_bucket(spark, tmp_path):
+    out = SnapshotWriter(spark, str(tmp_path), "run", buckets=4)
+    deals = spark.createDataFrame([(str(n),) for n in range(50)] + [(None,)], "deal_id string")
+    payments = spark.createDataFrame([(str(n), str(n)) for n in range(70)] + [("x", None)] * 3, "payment_id string, deal_id string")
+    stored = [out.write("main", n, df) for n, df in (("deals", deals), ("payments", payments))]
+    [check] = expectations._checks_in_buckets(out.tables, [("payments", "deal_id", "deals")])
+    assert rows(check) == [("payments", "REFERENCE", "deal_id", 20)]
+    assert [df.count() for df in stored] == [51, 73]
+
+
+def test_uneven_buckets_are_read_as_plain_files(spark, tmp_path, monkeypatch):
+    """A hot deal: its bucket would be one task of every reader."""
+    monkeypatch.setattr(buckets, "SMALL_BUCKET", 10)
+    hot = spark.range(9000).select(F.col("id").cast("string").alias("payment_id"), F.lit("hot").alias("deal_id"))
+    cold = spark.range(100).select(F.concat(F.lit("c"), "id").alias("payment_id"), F.col("id").cast("string").alias("deal_id"))
+    out = SnapshotWriter(spark, str(tmp_path / "it's here"), "run", buckets=16)
+    out.write("main", "payments", hot.unionByName(cold))
+    out.write("main", "shipments", cold)
+    out.write("main", "activities", cold.limit(0))
+    out.finish()
+    kept = {r.table_name: r.buckets for r in read_manifest(spark, out.folder).collect()}
+    assert kept == {"payments": None, "shipments": 16, "activities": 16}
+    stored = read_snapshot(spark, out.folder, verify=True)
+    assert not stored.together("payments", "deal_id", "shipments", "deal_id")
+    assert {n: df.count() for n, df in stored.items()} == {"payments": 9100, "shipments": 100, "activities": 0}
+
+
+def test_the_number_of_buckets_follows_the_size(spark, tmp_path, monkeypatch):
+    out = SnapshotWriter(spark, str(tmp_path), "run")
+    for size, expected in ((0, 1), (1, 1), (64 << 20, 1), ((64 << 20) + 1, 2), (200 << 20, 4), (1 << 40, 16384)):
+        monkeypatch.setattr(out, "largest_bytes", lambda size=size: size)
+        assert out.use_buckets() == expected
