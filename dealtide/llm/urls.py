@@ -97,7 +97,8 @@ def judge(
     host = F.regexp_extract("url", r"(?s)^.*?://([^/?#]*)", 1)
     path = F.regexp_extract("url", r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
     ruled = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for verdict, at, start in sorted(rules, key=lambda r: len(r[1]) + len(r[2])):
+    # The last of these decides: the longest, and of equally long ones the first that was given.
+    for verdict, at, start in sorted(reversed(rules), key=lambda r: len(r[1]) + len(r[2])):
         fits = ((F.col("host") == at) | F.endswith("host", F.lit("." + at))) & F.startswith("path", F.lit(start))
         ruled = F.when(fits, F.struct(F.lit(at + start).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(ruled)
     weights = F.create_map(*[F.lit(x) for pair in soft.items() for x in pair]) if soft else None

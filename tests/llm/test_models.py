@@ -164,3 +164,12 @@ def test_suppression():
     assert suppress([(0, 9, 1), (2, 5, 2), (2, 5, 1), (8, 12, 1)]) == [0, 1, 3]
     assert suppress([(0, 9, 2), (2, 5, 2), (2, 5, 1), (8, 12, 1)]) == [0, 3]
     assert suppress([]) == []
+
+
+def test_of_equally_long_rules_the_first_decides(spark):
+    given = spark.createDataFrame([("http://b.a.com/xyz",)], "url string")
+    block, allow = ("block", "a.com", "/xy"), ("allow", "b.a.com", "/")
+    for rules, verdict in (((block, allow), "block"), ([allow, block], "allow")):
+        assert [r.verdict for r in urls.judge(given, rules=rules, strict=(), soft={}).collect()] == [verdict]
+    longer = ("allow", "b.a.com", "/x")
+    assert urls.judge(given, rules=[block, longer]).first().rule == "b.a.com/x"
