@@ -419,6 +419,17 @@ def journal_runs(spark, sf_dir):
     ])
 
 
+@query
+def journal_fields(spark, sf_dir):
+    """The deals and statuses in the source rows of a stored journal, read from their VARIANT."""
+    folder = f"{shared_folder(spark)}/journals/{uuid.uuid4().hex}"
+    append_journal(store(journal(_cleaned(spark, sf_dir).entries(*JOURNALLED), "run"))[0], folder, "run")
+    log = read_journal(spark, folder, {"deal": "deal_id", "status": "status"})
+    return log.filter("deal IS NOT NULL").groupBy("source_table", "rule_id", "status").agg(
+        F.count("*").alias("cnt"), F.countDistinct("deal").alias("deals")
+    )
+
+
 # ---- expectations -------------------------------------------------------------------------
 
 
@@ -428,6 +439,16 @@ def expect_checks(spark, sf_dir):
     return expectations.check(broken_feed(spark, sf_dir).load_all())
 
 
+@query
+def expect_written(spark, sf_dir):
+    """The same, of tables whose rows were checked while they were written."""
+    tables = broken_feed(spark, sf_dir).load_all()
+    out = SnapshotWriter(spark, f"{shared_folder(spark)}/snapshots", uuid.uuid4().hex)
+    for table in tables:
+        out.write("main", table, tables[table])
+    return expectations.check(out.tables)
+
+
 @query
 def expect_unique_violations(spark, sf_dir):
     """The deal lines that share their key with another line."""

@@ -166,6 +166,22 @@ def journal(
     )
 
 
+def with_fields(entry_rows: DataFrame, fields: Mapping[str, str], raw: Column | None = None) -> DataFrame:
+    """Journal entries with fields of their source rows: column name -> field, as text.
+
+    ``raw``: the source row as VARIANT; by default ``raw_data`` is parsed, once for all fields. A field that
+    the row lacks, or that is NULL, is NULL, and so are all of an entry without a source row or with text that
+    is no JSON. A field's name may hold no double quote, backslash, question mark or line break.
+    """
+    raw = F.try_parse_json("raw_data") if raw is None else raw
+    odd = [field for field in fields.values() if set(field) & set('"\\?\n') or not field]
+    if odd:
+        raise ValueError(f"no path of a VARIANT can name {odd}")
+    return entry_rows.withColumns({
+        name: F.try_variant_get(raw, f'$["{field}"]', "string") for name, field in fields.items()
+    })
+
+
 __all__ = [
-    "EXTRA_RULES", "Finding", "Parsed", "accepted", "annotate", "entries", "journal",
+    "EXTRA_RULES", "Finding", "Parsed", "accepted", "annotate", "entries", "journal", "with_fields",
 ]

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealtide.functions import day
+from dealtide.operators.findings import with_fields
 from dealtide.sources.snapshot import Snapshot, period
 
 Tables = Mapping[str, DataFrame]
@@ -163,16 +164,9 @@ def _payment_sums(payments: DataFrame) -> DataFrame:
 
 def unlinked_payments(rejects: DataFrame) -> DataFrame:
     """Payments that the cleaning dropped because their deal does not exist."""
-    raw = F.from_json("raw_data", "deal_id string, amount string, status string")
-    return (
-        rejects.filter((F.col("source_table") == "payments") & (F.col("rule_id") == "DEAL_MISSING"))
-        .select(raw.alias("row"))
-        .select(
-            "row.deal_id",
-            F.col("row.amount").try_cast("decimal(14,2)").alias("amount"),
-            "row.status",
-        )
-    )
+    lost = rejects.filter((F.col("source_table") == "payments") & (F.col("rule_id") == "DEAL_MISSING"))
+    fields = with_fields(lost.select("raw_data"), {c: c for c in ("deal_id", "amount", "status")})
+    return fields.select("deal_id", F.col("amount").try_cast("decimal(14,2)").alias("amount"), "status")
 
 
 def production_delays(tables: Tables, as_of: Day = None, days: int = 5) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Every run writes to a folder of its own, so that a refresh never destroys what is being read,
 and a run without a manifest is known to be unfinished. The manifest holds a fingerprint of every
-table, measured while it was written.
+table, and how many of its rows break a constraint on their own, measured while it was written.
 
 Tables that reports read by period are partitioned by the month of a date, in place of an index on it.
 The month is not a column of the table: :meth:`Snapshot.between` filters by it before it is left out.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime
 import json
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealtide.model import TABLES
-from dealtide.operators import digests
+from dealtide.operators import digests, rules
+from dealtide.operators.findings import with_fields
 from dealtide.session import delete_path, path_bytes, path_exists
 from dealtide.sources import buckets as bucketed
 
@@ -37,6 +39,7 @@ _MANIFEST_SCHEMA = T.StructType([
     T.StructField("month_of", T.StringType(), True),
     T.StructField("bucket_of", T.StringType(), True),
     T.StructField("buckets", T.IntegerType(), True),
+    T.StructField("broken", T.MapType(T.StringType(), T.LongType()), True),
 ])
 
 #: Tables of the layer ``main`` that are partitioned, and the column whose month it is.
@@ -100,7 +103,8 @@ class SnapshotWriter:
         path = f"{self.folder}/{layer}/{table}"
         groups, seen = _groups(layer, table, df.columns), Observation()
         layout = self._layout(layer, table, df.columns)
-        rows = df.observe(seen, *digests.measures(groups))
+        of_rules = rules.measures(TABLES[table], df.columns) if layer == "main" and table in TABLES else []
+        rows = df.observe(seen, *digests.measures(groups), *of_rules)
         if layout.month_of:
             rows = rows.withColumn(MONTH, _month(F.col(layout.month_of)))
         partition = MONTH if layout.month_of else None
@@ -113,12 +117,13 @@ class SnapshotWriter:
         else:
             rows.write.parquet(path)
         measured = seen.get
+        broken = rules.broken(measured) if of_rules else None
         self._written.append((
             self.run_id, layer, table, measured[digests.ROWS], df.schema.json(), digests.digests(measured, groups),
-            layout.month_of, layout.bucket_of, layout.buckets,
+            layout.month_of, layout.bucket_of, layout.buckets, broken,
         ))
         written = Snapshot() if layer != "main" else self.tables
-        written.add(table, _read(self.spark, path, df.schema, layout), layout)
+        written.add(table, _read(self.spark, path, df.schema, layout), layout, broken)
         return written[table]
 
     def _layout(self, layer: str, table: str, columns: list[str]) -> Layout:
@@ -158,15 +163,27 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, layout: Layout)
 
 
 class Snapshot(dict):
-    """Tables of a finished run by name. :meth:`between` reads a period of one."""
+    """Tables of a finished run by name. :meth:`between` reads a period of one.
+
+    ``broken``: of tables whose contents are known to be those that were written, ``rule.column`` -> rows
+    that break it. A table that is put in place of a stored one is known by its rows alone.
+    """
 
     def __init__(self):
         super().__init__()
         self._by_month: dict[str, tuple[DataFrame, str]] = {}
         self._buckets: dict[str, tuple[str, int]] = {}
+        self.broken: dict[str, dict[str, int]] = {}
 
-    def add(self, name: str, stored: DataFrame, layout: Layout) -> None:
+    def __setitem__(self, name: str, rows: DataFrame) -> None:
+        for known in (self._by_month, self._buckets, self.broken):
+            known.pop(name, None)
+        super().__setitem__(name, rows)
+
+    def add(self, name: str, stored: DataFrame, layout: Layout, broken: dict[str, int] | None = None) -> None:
         self[name] = stored.drop(MONTH) if layout.month_of else stored
+        if broken is not None:
+            self.broken[name] = broken
         if layout.month_of:
             self._by_month[name] = stored, layout.month_of
         if layout.buckets:
@@ -222,7 +239,7 @@ def read_snapshot(
         schema = T.StructType.fromJson(json.loads(entry.table_schema))
         layout = Layout(entry.month_of, entry.bucket_of, entry.buckets)
         stored = _read(spark, f"{run_folder}/{layer}/{entry.table_name}", schema, layout)
-        tables.add(entry.table_name, stored, layout)
+        tables.add(entry.table_name, stored, layout, entry.broken if verify else None)
         if verify:
             _verify(tables[entry.table_name], entry)
     return tables
@@ -258,13 +275,17 @@ def compare_runs(spark: SparkSession, one: str, other: str) -> DataFrame:
 
 # ---- the journal of all runs --------------------------------------------------------------
 
+#: The source row of an entry as a VARIANT, beside its text.
+RAW = "raw"
+
 
 def append_journal(rejects: DataFrame, folder: str, run_id: str) -> None:
     """Add the journal of a run to that of all runs, below ``folder``: a partition for each run.
 
-    A run that is added again replaces its own entries and no others, also by none at all.
+    A run that is added again replaces its own entries and no others, also by none at all. The source rows
+    are stored as text and as VARIANT, so that a field of them is read without parsing the row.
     """
-    entries = rejects.filter(F.col("run_id") == run_id)
+    entries = rejects.filter(F.col("run_id") == run_id).withColumn(RAW, F.try_parse_json("raw_data"))
     writer = entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if entries.isEmpty():
         delete_path(rejects.sparkSession, f"{folder.rstrip('/')}/run_id={run_id}")
@@ -272,9 +293,15 @@ def append_journal(rejects: DataFrame, folder: str, run_id: str) -> None:
         writer.partitionBy("run_id").parquet(folder)
 
 
-def read_journal(spark: SparkSession, folder: str) -> DataFrame:
-    """The entries of all runs in the columns of the journal. A filter on ``run_id`` reads only its runs."""
+def read_journal(spark: SparkSession, folder: str, fields: Mapping[str, str] | None = None) -> DataFrame:
+    """The entries of all runs in the columns of the journal. A filter on ``run_id`` reads only its runs.
+
+    ``fields``: column names and the fields of the source row that they take, see
+    :func:`dealtide.operators.findings.with_fields`.
+    """
     schema = TABLES["rejects"].schema
     if not path_exists(spark, folder):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
+        stored = spark.createDataFrame([], schema).withColumn(RAW, F.try_parse_json("raw_data"))
+    else:
+        stored = spark.read.schema(T.StructType([*schema.fields, T.StructField(RAW, T.VariantType())])).parquet(folder)
+    return with_fields(stored, fields or {}, F.col(RAW)).select(*schema.fieldNames(), *(fields or {}))

@@ -11,6 +11,7 @@ from dealtide.sources.exports import read_raw
 from dealtide.operators import digests, expectations
 from dealtide.plans import reports
 from dealtide.sources import buckets
+from dealtide.operators.findings import with_fields
 from dealtide.sources.snapshot import (
     MONTH, SnapshotWriter, append_journal, compare_runs, read_journal, read_manifest, read_snapshot,
 )
@@ -243,6 +244,27 @@ def test_a_run_replaces_its_own_journal_entries_only(spark, tables, tmp_path):
     assert rows(read_journal(spark, folder)) == rows(two)
 
 
+def test_fields_of_source_rows_are_read_from_their_variant(spark, tables, tmp_path):
+    folder = str(tmp_path / "journal")
+    fields = {"of_deal": "deal_id", "odd": "it's [0].a"}
+    assert read_journal(spark, folder, fields).columns == [*tables["rejects"].columns, *fields]
+    awkward = ['{"deal_id": null}', '{"deal_id": 7}', '{"it\'s [0].a": "x"}', "no JSON", "", None, "[]"]
+    some = tables["rejects"].limit(1).drop("raw_data").crossJoin(
+        spark.createDataFrame([(r,) for r in awkward], "raw_data string")
+    )
+    log = tables["rejects"].unionByName(some)
+    append_journal(log, folder, "run-1")
+    stored = read_journal(spark, folder, fields)
+    parsed = F.get_json_object("raw_data", "$.deal_id")
+    expected = log.withColumns({"of_deal": parsed, "odd": F.when(F.col("raw_data") == awkward[2], "x")})
+    assert rows(stored) == rows(expected) == rows(with_fields(log, fields))
+    assert stored.filter("of_deal IS NOT NULL").count() > 1
+    plan = plan_of(stored.select("of_deal"))
+    with pytest.raises(ValueError):
+        with_fields(log, {"a": 'a"b'})
+    assert "raw_data" not in plan.split("FileScan")[1], "the text of the rows is not read"
+
+
 def test_a_refresh_adds_to_the_journal_of_all_runs(spark, run_folder, tables):
     log = read_journal(spark, f"{Path(run_folder).parent}/_journal")
     assert rows(log.filter("run_id = 'run-1'")) == rows(tables["rejects"])
