@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,19 +104,51 @@ def format_chats(
     )
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often lambdas in it use the value."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _width(size: Column) -> Column:
+    return F.greatest(F.ceil(F.sqrt(size)), F.lit(1)).cast("int")
+
+
+def _part(at: Column, width: Column) -> Column:
+    return F.floor(at / width).cast("int")
+
+
+def _before(sizes: Column) -> Column:
+    """The sums of the sizes before each: those of whole parts of about the square root of their number are
+    added up first, so that nothing grows with the square of it."""
+    def summed(some: Column) -> Column:
+        return F.aggregate(some, F.lit(0), lambda a, b: a + b)
+
+    def starts(width: Column) -> Column:
+        sums = F.transform(
+            F.sequence(F.lit(0), _part(F.size(sizes) - 1, width)),
+            lambda part: summed(F.slice(sizes, part * width + 1, width)),
+        )
+        of_parts = _bound(sums, lambda s: F.transform(s, lambda _, part: summed(F.slice(s, F.lit(1), part))))
+        return _bound(of_parts, lambda before: F.transform(
+            sizes, lambda _, i: before[_part(i, width)] + summed(F.slice(sizes, i - i % width + 1, i % width))
+        ))
+
+    return _bound(_width(F.size(sizes)), starts)
+
+
 def _spans(steps: Column) -> Column:
-    empty = F.expr("CAST(array() AS array<struct<start:int,length:int>>)")
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-
-    def walk(state, step):
-        start = state["at"] + step["gap"]
-        span = F.array(F.struct(start.alias("start"), step["length"].alias("length")))
-        return F.struct(
-            (start + step["length"] + step["after"]).alias("at"),
-            F.when(step["learn"], F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"),
+    def spans(steps: Column) -> Column:
+        sizes = F.transform(steps, lambda s: s["gap"] + s["length"] + s["after"])
+        placed = _bound(_bound(sizes, _before), lambda before: F.transform(
+            steps,
+            lambda s, i: F.struct(s["learn"], (before[i] + s["gap"]).alias("start"), s["length"]),
+        ))
+        return F.transform(
+            F.filter(placed, lambda p: p["learn"]),
+            lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length")),
         )
 
-    return F.aggregate(steps, zero, walk, lambda state: state["spans"])
+    return _bound(steps, spans)
 
 
 def read_turns(formatted: Column) -> Column:
@@ -133,7 +167,24 @@ def read_turns(formatted: Column) -> Column:
 
 
 def masked(formatted: Column, spans: Column) -> Column:
-    """The texts under the loss mask, unescaped, with nothing between."""
-    return F.array_join(
-        F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"]))), ""
-    )
+    """The texts under the loss mask, unescaped, with nothing between.
+
+    The text is cut into parts first, about the square root of the number of spans, so that no span is
+    looked for from the start of the whole text.
+    """
+    def under(text: Column, width: Column) -> Column:
+        parts = F.transform(
+            F.sequence(F.lit(0), _part(F.length(text), width)), lambda n: F.substring(text, n * width + 1, width)
+        )
+        return _bound(parts, lambda parts: F.transform(spans, lambda s: unescape(F.substring(
+            F.array_join(
+                F.slice(parts, _part(s["start"], width) + 1,
+                        _part(s["start"] + s["length"], width) - _part(s["start"], width) + 1), "",
+            ),
+            s["start"] % width + 1, s["length"],
+        ))))
+
+    texts = _bound(formatted, lambda text: _bound(
+        F.greatest(F.ceil(F.length(text) / _width(F.size(spans))), F.lit(1)).cast("int"), lambda width: under(text, width)
+    ))
+    return F.array_join(texts, "")

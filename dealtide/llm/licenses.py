@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -188,23 +190,47 @@ _WORDS = bytes(
 
 def suppress(detections: list[tuple[int, int, int]]) -> list[int]:
     """Indices of the (start, end, priority) that no other contains with a higher priority, or
-    with the same one and a longer or earlier interval. What is suppressed suppresses nothing."""
+    with the same one and a longer or earlier interval. What is suppressed suppresses nothing.
+
+    Kept intervals of one priority contain none of each other, so in the order of their starts their ends
+    rise as well: of each priority only the last one that starts no later can contain a detection.
+    """
+    levels: list[tuple[list[int], list[int]]] = []  # starts and ends of each level, both rising
     kept: list[int] = []
-    for i in sorted(range(len(detections)), key=lambda i: (-detections[i][2], detections[i][0] - detections[i][1], i)):
-        start, end, _ = detections[i]
-        if not any(detections[k][0] <= start and end <= detections[k][1] for k in kept):
-            kept.append(i)
+    by_priority: dict[int, list[int]] = {}
+    for i, (_, _, priority) in enumerate(detections):
+        by_priority.setdefault(priority, []).append(i)
+    for priority in sorted(by_priority, reverse=True):
+        # Within a priority a sweep by start, the longer first: what ends no later than an earlier one lies in it.
+        furthest, added = -1, []
+        for i in sorted(by_priority[priority], key=lambda i: (detections[i][0], -detections[i][1], i)):
+            start, end, _ = detections[i]
+            if end <= furthest or any(_contains(level, start, end) for level in levels):
+                continue
+            furthest = end
+            added.append(i)
+        if added:
+            levels.append(([detections[i][0] for i in added], [detections[i][1] for i in added]))
+            kept += added
     return sorted(kept, key=lambda i: (detections[i][0], detections[i][1]))
 
 
+def _contains(level: tuple[list[int], list[int]], start: int, end: int) -> bool:
+    starts, ends = level
+    at = bisect_right(starts, start) - 1
+    return at >= 0 and end <= ends[at]
+
+
 def scan_text(text: bytes) -> dict:
     """What one text says about licenses; places are counted in words, from 0."""
     words = text.translate(_WORDS).split()
     line = b" ".join(words)
     automaton, patterns, base_rules = _compiled()
 
+    blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+
     def place(at: int) -> int:
-        return line.count(b" ", 0, at)
+        return int(np.searchsorted(blanks, at))
 
     base = [
         {"label": label, "start": place(m.start()), "end": place(m.end()) + 1}

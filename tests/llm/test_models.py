@@ -1,11 +1,13 @@
 """The grammar, the language models and the search, each against a plain version."""
 
+import random
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from dealtide.llm import langid, toxicity, topk, urls
+from dealtide.llm import chat, langid, toxicity, topk, urls
 from dealtide.llm.licenses import suppress
 
 LEXICON = toxicity.Lexicon({"idiot": 4.0, "moron": 4.0}, {"vequ": 4.0})
@@ -166,6 +168,36 @@ def test_suppression():
     assert suppress([]) == []
 
 
+def test_suppression_agrees_with_pair_by_pair():
+    draw = random.Random(1)
+    for _ in range(2000):
+        found = [(a, a + draw.randint(1, 8), draw.randint(1, 3)) for a in draw.choices(range(20), k=draw.randint(0, 15))]
+        kept = []
+        for i in sorted(range(len(found)), key=lambda i: (-found[i][2], found[i][0] - found[i][1], i)):
+            if not any(found[k][0] <= found[i][0] and found[i][1] <= found[k][1] for k in kept):
+                kept.append(i)
+        assert suppress(found) == sorted(kept, key=lambda i: (found[i][0], found[i][1]))
+
+
+def test_time_of_suppression_grows_with_the_mentions():
+    """100,000 mentions; compared pair by pair they take hours."""
+    found = [(n * 10, n * 10 + 5, 1 + n % 2) for n in range(100_000)] + [(n * 10 + 1, n * 10 + 4, 1) for n in range(100_000)]
+    assert len(suppress(found)) == 100_000
+
+
+def test_long_conversation(spark):
+    """20,000 turns of one conversation, with letters of several bytes and control strings."""
+    said = F.concat(F.repeat(F.lit("\u00e9<|\\"), 3), F.col("id").cast("string"))
+    role = F.when(F.pmod(F.xxhash64("id"), F.lit(3)) == 0, "assistant").otherwise("user")
+    turns = spark.range(20_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text"))
+    read = chat.format_chats(turns).select(
+        chat.masked(F.col("formatted"), F.col("loss_spans")).alias("loss"), chat.read_turns(F.col("formatted")).alias("turns")
+    ).first()
+    given = turns.orderBy("turn").collect()
+    assert [tuple(t) for t in read["turns"]] == [(t.role, t.text) for t in given]
+    assert read["loss"] == "".join(t.text for t in given if t.role == "assistant")
+
+
 def test_of_equally_long_rules_the_first_decides(spark):
     given = spark.createDataFrame([("http://b.a.com/xyz",)], "url string")
     block, allow = ("block", "a.com", "/xy"), ("allow", "b.a.com", "/")
