@@ -121,6 +121,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         toxicity.held_out(F.col("doc_id")).alias("held_out"),
         "toxicity.score",
         (F.col("toxicity.score") >= 0.7).cast("int").alias("predicted"),
+        (F.col("toxicity.pattern") != "").alias("matched"),
     )
 
 

@@ -6,7 +6,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 import ahocorasick
@@ -74,7 +74,9 @@ SEEN = 5
 #: Least weight of an insult or a threat whose clause is complete: it alone passes a score of 0.7.
 MATCHED, DIRECTED = 3.5, 4.0
 #: Classes of words that have a weight.
-HEADS = ("insult", "threat", "harm", "harmed")
+HEADS = ("insult", "slur", "threat", "harm", "harmed")
+#: All classes; "" is any other word.
+CLASSES = (*HEADS, "you", "contracted", "target", "negation", "report", "modal", "is", "like", "")
 
 _WORD = re.compile(r"\w+(?:'\w+)?")
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
@@ -97,14 +99,6 @@ class Transducer:
         return factors
 
 
-def compose(machines: Sequence[Transducer], classes: Sequence[str]) -> list[float]:
-    """The machines read the same classes; their factors are multiplied."""
-    out = [1.0] * len(classes)
-    for machine in machines:
-        out = [a * b for a, b in zip(out, machine.run(classes), strict=True)]
-    return out
-
-
 @dataclass(frozen=True)
 class Matcher:
     """A transducer that emits a match when a clause completes: (state, class) gives (state, emits),
@@ -131,13 +125,12 @@ def _insults() -> Matcher:
     rest = {"you2": "you1", "you1": "in", "one": "in", "is4": "is3", "is3": "is2", "is2": "is1", "is1": "in", "head": "in", "like": "in"}
     for state in ("start", "in", *rest):
         moves |= {(state, "you"): ("you2", False), (state, "target"): ("one", False), (state, "contracted"): ("is4", False)}
-        moves[state, "insult"] = ("head", False)
+        moves |= {(state, name): ("head", False) for name in ("insult", "slur")}
     for state in ("you2", "you1", "one"):
         moves[state, "is"] = ("is4", False)
-    for state in ("you2", "you1"):
-        moves[state, "insult"] = ("you2", True)
-    for state in ("is4", "is3", "is2", "is1"):
-        moves[state, "insult"] = ("is4", True)
+    for name in ("insult", "slur"):
+        moves |= {(state, name): ("you2", True) for state in ("you2", "you1")}
+        moves |= {(state, name): ("is4", True) for state in ("is4", "is3", "is2", "is1")}
     moves["head", "like"] = ("like", False)
     for name in ("you", "target"):
         moves["like", name] = ("in", True)
@@ -189,23 +182,87 @@ def _target() -> Transducer:
     for state in range(5):
         for name in ("target", "you", "contracted"):
             moves[state, name] = (4, 1.0)
-        moves[state, "insult"] = (max(0, state - 1), AIMED if state else 1.0)
+        for name in ("insult", "slur"):
+            moves[state, name] = (max(0, state - 1), AIMED if state else 1.0)
         for name in ("threat", "harm"):
             moves[state, name] = (max(0, state - 1), 2.0 if state else 1.0)
     return Transducer(moves, rest)
 
 
-GRAMMAR = (_negation(), _report(), _target())
-MATCHERS = ((_insults(), MATCHED), (_threats(), DIRECTED))
+def _bare() -> Matcher:
+    """A predicate without a target: an insult that the labels mark, wherever it stands."""
+    return Matcher({(state, "slur"): ("in", True) for state in ("start", "in")}, {})
+
+
+#: Machines that soften, and those that aim.
+SOFTER, AIMING = (_negation(), _report()), (_target(),)
+#: Name of a pattern, its machine, and the least weight of a match; None: a share of the word's own weight.
+MATCHERS = (("insult", _insults(), MATCHED), ("threat", _threats(), DIRECTED), ("bare", _bare(), None))
+
+
+@dataclass(frozen=True)
+class Composed:
+    """One machine whose states are tuples of those of all machines: (state, class) gives the next state,
+    the factors that soften and aim, and the patterns that complete."""
+
+    moves: dict[tuple[int, str], tuple[int, float, float, tuple[int, ...]]]
+
+    def run(self, classes: Sequence[str]) -> list[tuple[float, float, set[int]]]:
+        """For each word the factors, and the patterns whose match belongs to it: the last one with a weight."""
+        state, head, out = 0, -1, []
+        for n, name in enumerate(classes):
+            if name in HEADS:
+                head = n
+            state, softer, aimed, complete = self.moves[state, name]
+            out.append((softer, aimed, set()))
+            if complete:
+                out[head][2].update(complete)
+        return out
+
+
+def compose(
+    softer: Sequence[Transducer] = SOFTER,
+    aiming: Sequence[Transducer] = AIMING,
+    matchers: Sequence[Matcher] = tuple(m for _, m, _ in MATCHERS),
+) -> Composed:
+    """The product of the machines: all tuples of states that can be reached from the first."""
+    def step(machine: Transducer, state: int, name: str) -> tuple[int, float]:
+        return machine.moves.get((state, name)) or machine.rest.get(state, (state, 1.0))
+
+    first = ((0,) * len(softer), (0,) * len(aiming), ("start",) * len(matchers))
+    numbers, todo, moves = {first: 0}, [first], {}
+    while todo:
+        states = todo.pop()
+        for name in CLASSES:
+            soft = [step(m, s, name) for m, s in zip(softer, states[0], strict=True)]
+            aim = [step(m, s, name) for m, s in zip(aiming, states[1], strict=True)]
+            match = [
+                m.moves.get((s, name)) or (m.rest.get(s, "in"), False)
+                for m, s in zip(matchers, states[2], strict=True)
+            ]
+            after = tuple(tuple(s for s, _ in part) for part in (soft, aim, match))
+            if after not in numbers:
+                numbers[after] = len(numbers)
+                todo.append(after)
+            moves[numbers[states], name] = (
+                numbers[after], math.prod(f for _, f in soft), math.prod(f for _, f in aim),
+                tuple(n for n, (_, emits) in enumerate(match) if emits),
+            )
+    return Composed(moves)
+
+
+MACHINE = compose()
 
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Weights of whole words and of stems, with which words start."""
+    """Weights of whole words and of stems, with which words start. ``bare``: how much of the weight of an
+    insult counts where it has no target."""
 
     words: dict[str, float]
     stems: dict[str, float]
     threats: dict[str, float] = field(default_factory=lambda: dict(THREATS))
+    bare: float = 1.0
 
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
@@ -230,7 +287,7 @@ class Lexicon:
     def classify(self, word: str) -> tuple[str, float]:
         weight = self.weight(word)
         if weight:
-            return "insult", weight
+            return "slur" if weight > WEAK else "insult", weight
         verb = word if word in THREATS else GERUNDS.get(word) or PARTICIPLES.get(word)
         if verb:
             return "harmed" if word in PARTICIPLES else "harm" if word in HARMS else "threat", self.threats[verb]
@@ -247,30 +304,38 @@ class Lexicon:
         words, out, at = _WORD.findall(clause), [], 0
         while at < len(words):
             phrase = next((p for p in _PHRASES.get(words[at], ()) if tuple(words[at : at + len(p)]) == p), None)
-            out.append(("insult", PHRASES[phrase]) if phrase else self.classify(words[at]))
+            out.append(("slur", PHRASES[phrase]) if phrase else self.classify(words[at]))
             at += len(phrase or "1")
         return out
 
-    def weigh(self, clause: str) -> float:
-        """The weights of the words under the grammar; those whose clause is complete have at least
-        the weight of the match, less if negated or reported."""
+    def judge(self, clause: str) -> tuple[float, str, float]:
+        """Weight of a clause, and pattern and weight of its strongest match, empty and 0 without one.
+
+        Matched words have their weights under the grammar, at a target at least that of the match, and less
+        if negated or reported. The others weigh :data:`WEAK` together at most.
+        """
         read = self.read(clause)
-        classes = [name for name, _ in read]
-        least = [0.0] * len(read)
-        for matcher, lift in MATCHERS:
-            for at in matcher.run(classes):
-                least[at] = max(least[at], lift)
-        softer, aimed = compose(GRAMMAR[:2], classes), compose(GRAMMAR[2:], classes)
-        weak = strong = 0.0
-        for (_, w), a, low, f in zip(read, aimed, least, softer, strict=True):
-            if w <= WEAK and not low:
-                weak += w * a * f
-            else:
-                strong += max(w * a, low) * f
-        return strong + min(weak, WEAK)
+        weak = strong = best = 0.0
+        pattern = ""
+        for (_, w), (softer, aimed, matches) in zip(read, MACHINE.run([name for name, _ in read]), strict=True):
+            if not matches:
+                weak += w * aimed * softer
+                continue
+            least, name = max((MATCHERS[n][2] or 0.0, MATCHERS[n][0]) for n in matches)
+            value = softer * (max(w * aimed, least) if least else w * aimed * self.bare)
+            strong += value
+            if value > best:
+                best, pattern = value, name
+        return strong + min(weak, WEAK), pattern, best
+
+    def weigh(self, clause: str) -> float:
+        return self.judge(clause)[0]
 
     def clauses(self, text: str) -> list[tuple[str, float]]:
-        """The clauses that hold an insult or a threat, with their weights. Others are not read."""
+        return [(clause, weight) for clause, weight, *_ in self.judged(text)]
+
+    def judged(self, text: str) -> list[tuple[str, float, str, float]]:
+        """The clauses that hold an insult or a threat, and how each is judged. Others are not read."""
         text, out, done = text.lower().replace("\u2019", "'"), [], -1
         if not len(self.automaton):
             return out
@@ -284,16 +349,17 @@ class Lexicon:
             closing = _CLAUSE_END.search(text, end + 1)
             done = closing.start() if closing else len(text)
             clause = text[start:done]
-            weight = self.weigh(clause)
-            if weight:
-                out.append((clause, weight))
+            judgement = self.judge(clause)
+            if judgement[0]:
+                out.append((clause, *judgement))
         return out
 
-    def score(self, text: str | None) -> tuple[float, int]:
-        """By the strongest clause, so that a text is not toxic for being long; and how many matched."""
-        found = self.clauses(text or "")
-        total = max((weight for _, weight in found), default=0.0)
-        return 1.0 / (1.0 + math.exp(BIAS - min(total, 50.0))), len(found)
+    def score(self, text: str | None) -> tuple[float, int, str]:
+        """By the strongest clause, so that a text is not toxic for being long; how many clauses weigh
+        something; and the pattern that the strongest matches, empty if none."""
+        found = self.judged(text or "")
+        _, total, pattern, _ = max(found, key=lambda f: f[1], default=("", 0.0, "", 0.0))
+        return 1.0 / (1.0 + math.exp(BIAS - min(total, 50.0))), len(found), pattern
 
 
 def stems_of(text: str) -> set[str]:
@@ -315,6 +381,9 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Lexicon:
     once). A stem is taken if hardly any clean text has it and it stands in 2% of the toxic ones, or
     if it explains toxic texts that those taken before leave unexplained. Words of the fixed list
     and threats have the weight that the labels give them if at least ``SEEN`` labelled texts have them.
+    Insults without a target count by the share that the labels give them: the log-odds of texts that such a
+    clause decides, over the mean weight of its strongest word, 1 at most; it is fitted on the texts that the words are
+    learned from. Of the stems the ``CANDIDATES`` that most toxic texts have are looked at.
     Without toxic or without clean
     texts the fixed list is all there is. NULL and empty texts and other labels are left out.
     """
@@ -396,23 +465,43 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Lexicon:
     words = fitted(INSULTS, 0.5)
     words |= {s.strip(): min(6.0, max(0.5, odds(*candidates[s]))) for s in chosen if s.endswith(" ")}
     stems = {s: min(6.0, max(0.5, odds(*candidates[s]))) for s in chosen if not s.endswith(" ")}
-    return Lexicon(words, stems, fitted(THREATS, 0.25))
+    lexicon = Lexicon(words, stems, fitted(THREATS, 0.25))
+
+    def decided(batches):
+        for text, label in _texts(batches):
+            _, _, pattern, weight = max(lexicon.judged(text), key=lambda f: f[1], default=("", 0.0, "", 0.0))
+            if pattern == "bare":
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([label], pa.int64()), pa.array([weight], pa.float64())], names=["label", "weight"]
+                )
+
+    bare = {
+        r["label"]: (r["texts"], r["weight"]) for r in texts.mapInArrow(decided, "label bigint, weight double")
+        .groupBy("label").agg(F.count("*").alias("texts"), F.sum("weight").alias("weight")).collect()
+    }
+    toxic, clean = bare.get(1, (0, 0.0)), bare.get(0, (0, 0.0))
+    if toxic[0] + clean[0] < SEEN:
+        return lexicon
+    mean = (toxic[1] + clean[1]) / (toxic[0] + clean[0])
+    return replace(lexicon, bare=min(1.0, max(0.0, odds(toxic[0], clean[0]) / mean)))
 
 
 def score(df: DataFrame, lexicon: Lexicon, text: str = "text", name: str = "toxicity") -> DataFrame:
-    """All rows and columns, and the struct ``name``: score (0 to 1) and clauses (how many matched).
+    """All rows and columns, and the struct ``name``: score (0 to 1), clauses (how many weigh something) and
+    pattern (which one the strongest clause matches: insult, threat, bare, or empty). Without a match a score
+    stays at 0.5 or below.
 
     Whole texts are read. A NULL or empty text has the score of a text without any match. A column
     of the name is replaced. Rows are independent: repeated ones get the same score, and an empty
     table gives an empty table.
     """
     prepare_python(df.sparkSession)
-    kind = pa.struct([("score", pa.float64()), ("clauses", pa.int64())])
+    kind = pa.struct([("score", pa.float64()), ("clauses", pa.int64()), ("pattern", pa.string())])
 
-    @F.arrow_udf("score double, clauses bigint")
+    @F.arrow_udf("score double, clauses bigint, pattern string")
     def scored(texts: pa.Array) -> pa.Array:
         found = [lexicon.score(t.as_py()) for t in texts]
-        return pa.array([{"score": s, "clauses": n} for s, n in found], kind)
+        return pa.array([{"score": s, "clauses": n, "pattern": p} for s, n, p in found], kind)
 
     rest = [F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()]
     return df.select(*rest, scored(F.col(f"`{text}`").cast("string")).alias(name))

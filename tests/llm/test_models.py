@@ -1,6 +1,8 @@
 """The grammar, the language models and the search, each against a plain version."""
 
+import os
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from dealtide.llm import chat, langid, toxicity, topk, urls
 from dealtide.llm.licenses import suppress
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 LEXICON = toxicity.Lexicon({"idiot": 4.0, "moron": 4.0}, {"vequ": 4.0})
 
 
@@ -60,6 +63,49 @@ def test_lone_words_do_not_decide(text, toxic):
     assert (lexicon.score(text)[0] >= 0.7) == toxic
 
 
+def _side_by_side(classes):
+    """Each machine of the grammar alone, one after the other: factors that soften and aim, and patterns."""
+    out = [[1.0, 1.0, set()] for _ in classes]
+    for column, machines in ((0, toxicity.SOFTER), (1, toxicity.AIMING)):
+        for machine in machines:
+            for n, factor in enumerate(machine.run(classes)):
+                out[n][column] *= factor
+    for number, (_, matcher, _) in enumerate(toxicity.MATCHERS):
+        for n in matcher.run(classes):
+            out[n][2].add(number)
+    return [tuple(o) for o in out]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not there")
+def test_the_composed_machine_agrees_with_its_parts(spark):
+    """On drawn sequences of classes, and on all clauses of all test texts."""
+    draw = random.Random(2)
+    given = [draw.choices(toxicity.CLASSES, k=draw.randint(0, 12)) for _ in range(3000)]
+    texts = [r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text").collect()]
+    lexicon = toxicity.Lexicon(dict(toxicity.INSULTS), {"wort": 3.0})
+    for text in texts:
+        given += [[c for c, _ in lexicon.read(clause)] for clause in re.split(r"[.!?;:\n]", (text or "").lower())]
+    assert len(given) > 4000
+    for classes in given:
+        assert toxicity.MACHINE.run(classes) == _side_by_side(classes)
+
+
+@pytest.mark.parametrize(
+    "text, pattern", [("you idiot", "insult"), ("an idiot", "bare"), ("I will kill you", "threat"), ("they kill", ""), ("", "")],
+)
+def test_patterns(text, pattern):
+    assert LEXICON.score(text)[2] == pattern
+
+
+def test_insults_without_a_target_count_as_the_labels_say(spark):
+    """What stands in toxic and clean texts alike decides nothing; what only toxic texts hold does."""
+    rows = [(f"a wall of trash {n}", 1) for n in range(30)] + [(f"a tale {n}", 0) for n in range(900)]
+    marked = toxicity.learn(spark.createDataFrame(rows, "text string, label int"))
+    assert marked.bare > 0.8 and marked.score("some trash")[0] >= 0.7
+    unmarked = toxicity.replace(marked, bare=0.0)
+    assert unmarked.score("some trash")[0] < 0.7 <= unmarked.score("you trash")[0]
+
+
 def test_weights_come_from_the_labels(spark):
     rows = [(f"a wall of trash {n}", 1) for n in range(30)] + [(f"they kill weeds {n}", 1) for n in range(30)]
     rows += [(f"the garbage man {n}", 0) for n in range(60)] + [(f"blargish {n}", 1) for n in range(2)]

@@ -250,9 +250,12 @@ def test_toxicity_on_held_out_labels(spark, duck):
     found = [r.asDict() for r in QUERIES["op8_toxicity"](spark, folder).collect()]
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in found)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in found)
+    assert all(r["matched"] for r in found if r["predicted"]), "only a match decides"
     held = [r for r in found if r["held_out"] and r["doc_id"] in toxic]
     right = sum(r["predicted"] == toxic[r["doc_id"]] for r in held)
     assert right / len(held) >= 0.9
+    caught = [r["predicted"] for r in held if toxic[r["doc_id"]]]
+    assert sum(caught) / len(caught) >= 0.75
 
 
 def test_languages_of_held_out_documents(spark, documents):
