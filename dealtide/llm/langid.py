@@ -21,9 +21,9 @@ ORDER, DISCOUNT = 4, 0.75
 ENTRIES = 2_000_000
 #: Characters worked on at once, and n-grams a counting task holds.
 PIECE, HELD = 1 << 20, 4_000_000
-#: Texts that the limit for rejection is calibrated on, at most; the share of them within it, and
-#: the margin above.
-SAMPLE, WITHIN, MARGIN = 4_000, 0.995, 1.15
+#: Share of the texts that the limit for rejection is calibrated on within it, and the margin above;
+#: buckets that a range of entropies is cut into while that share is looked for.
+WITHIN, MARGIN, BUCKETS = 0.995, 1.15, 1_000
 #: Characters beyond which more text does not make a prediction surer.
 SURE = 50
 
@@ -280,12 +280,12 @@ def _cuts(sizes: list[tuple[int, int]], entries: int) -> list[tuple[int, int]]:
     return [(start, end - 1) for start, end in zip(starts, [*starts[1:], 1 << 16], strict=True)]
 
 
-def learn(labelled: DataFrame, entries: int = ENTRIES, sample: int = SAMPLE) -> Identifier:
+def learn(labelled: DataFrame, entries: int = ENTRIES) -> Identifier:
     """Models of all languages in ``labelled`` (lang, text), from all n-grams of all its whole texts.
 
     The n-grams are counted in Spark. About ``entries`` of them come to the driver at once: a part of
     the models, which is broadcast before the next one is made (a symbol that is the third one of more
-    n-grams than that is a part of its own). The limits for rejection are fitted on ``sample`` texts.
+    n-grams than that is a part of its own). The limits for rejection are fitted on all texts, too.
     Rows with a NULL are not learned from; without any row, nothing is identified.
     """
     context = labelled.sparkSession.sparkContext
@@ -320,19 +320,57 @@ def learn(labelled: DataFrame, entries: int = ENTRIES, sample: int = SAMPLE) ->
             models.append(kneser_ney(grams[at], seen[at], single=single[k]))
         parts.append(Part(first, end, context.broadcast(tuple(models))))
     found = Identifier(tuple(languages), tuple(parts), (math.inf,) * len(languages))
-    return Identifier(found.languages, found.parts, _limits(labelled, found, sample))
-
-
-def _limits(labelled: DataFrame, found: Identifier, sample: int) -> tuple[float, ...]:
-    given = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("hash"))
-    # Drawn by hash alone, so that only the texts drawn travel.
-    drawn = keep(given.select("lang", "hash").distinct().orderBy("hash", "lang").limit(sample))
-    some = given.join(F.broadcast(drawn), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text"))
-    seen: dict[str, list[float]] = {}
-    for lang, got in identify(some, found).select("lang", "language").collect():
-        if got["lang"] == lang:
-            seen.setdefault(lang, []).append(got["entropy"])
-    return tuple(float(np.quantile(seen[lang], WITHIN)) * MARGIN if lang in seen else math.inf for lang in found.languages)
+    return Identifier(found.languages, found.parts, _limits(labelled, found))
+
+
+def _limits(labelled: DataFrame, found: Identifier) -> tuple[float, ...]:
+    """By language: the entropy that a share of ``WITHIN`` of its texts have at most, and the margin.
+
+    All different texts count, each once, that are identified as the language they are learned from.
+    """
+    text = F.col("text").cast("string")
+    given = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select(
+        F.col("lang").cast("string").alias("lang"), text.alias("text"), F.md5(text).alias("hash")
+    )
+    own = F.when(F.col("language.lang") == F.col("lang"), F.col("language.entropy"))
+    seen = identify(given, found).groupBy("lang", "hash").agg(F.min(own).alias("value")).filter("value IS NOT NULL")
+    within = quantiles(keep(seen.select(F.col("lang").alias("group"), "value")), WITHIN)
+    return tuple(within[lang] * MARGIN if lang in within else math.inf for lang in found.languages)
+
+
+def quantiles(values: DataFrame, share: float) -> dict[str, float]:
+    """By ``group``: the quantile of ``value`` over all rows, interpolated between two neighbours.
+
+    It is exact, and no task or driver gets a group: the values are counted by buckets of equal width,
+    and the bucket of the one looked for is cut anew, from its least value to its greatest, until these
+    are equal. ``values`` is read each time; no value is NULL or not finite.
+    """
+    size = (F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    places: dict[str, float] = {}
+    wanted: dict[tuple[str, int], tuple[int, float, float]] = {}  # values below it in its range, and the range
+    for group, n, low, high in values.groupBy("group").agg(*size).collect():
+        places[group] = share * (n - 1)
+        for rank in (math.floor(places[group]), math.ceil(places[group])):
+            wanted[group, rank] = (rank, low, high)
+    value, least, most = F.col("value"), F.col("least"), F.col("most")
+    bucket = F.least(F.floor((value - least) / (most - least) * BUCKETS), F.lit(BUCKETS - 1))
+    while ranges := [(*key, low, high) for key, (_, low, high) in wanted.items() if low < high]:
+        cut = F.broadcast(values.sparkSession.createDataFrame(ranges, "group string, rank bigint, least double, most double"))
+        counted = values.join(cut, "group").filter(value.between(least, most))
+        buckets: dict[tuple[str, int], list[tuple]] = {}
+        for group, rank, *line in counted.groupBy("group", "rank", bucket.alias("bucket")).agg(*size).collect():
+            buckets.setdefault((group, rank), []).append(tuple(line))
+        for key, lines in buckets.items():
+            below = wanted[key][0]
+            for _, n, low, high in sorted(lines):
+                if below < n:
+                    wanted[key] = (below, low, high)
+                    break
+                below -= n
+    return {
+        group: float(np.quantile([wanted[group, math.floor(at)][1], wanted[group, math.ceil(at)][1]], at - math.floor(at)))
+        for group, at in places.items()
+    }
 
 
 def identify(df: DataFrame, identifier: Identifier, text: str = "text", name: str = "language") -> DataFrame:

@@ -182,6 +182,42 @@ def test_language_models_leave_no_gram_out(spark):
     assert said[0] == said[1] and [r["lang"] for r in said[0]] == ["x", "y"]
 
 
+def test_limits_for_rejection_come_from_all_texts(spark):
+    """However many texts there are: each different one counts once, if it is identified as its language."""
+    syllables = {"x": ["ka", "lo", "mi", "ru", "se"], "y": ["sch", "tz", "ei", "ng", "ü"]}
+    random = np.random.default_rng(3)
+    rows = [
+        (lang, " ".join("".join(random.choice(syllables[lang], 3)) for _ in range(random.integers(1, 6))) + " x" * (n % 3))
+        for n in range(4_000) for lang in "xy"
+    ]
+    rows += [("x", "kalo " * 40)] * 3_000 + [("y", "kalo mi"), ("x", "42"), ("x", None), (None, "kalo"), ("z", "kalomi")]
+    found = langid.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert found.languages == ("x", "y", "z")
+    different = sorted({row for row in rows if None not in row and row[1] != "42"})
+    assert len(different) > 7_000
+    entropies, _ = found.entropies([text for _, text in different])
+    best = entropies.argmin(axis=1)
+    for k, lang in enumerate(found.languages):
+        own = [line[k] for (name, _), line, b in zip(different, entropies, best, strict=True) if name == lang and b == k]
+        assert found.limits[k] == (pytest.approx(np.quantile(own, langid.WITHIN) * langid.MARGIN) if own else np.inf)
+
+
+def test_quantiles_of_groups(spark):
+    random = np.random.default_rng(4)
+    groups = {
+        "even": random.random(3_001), "tied": np.repeat([1.0, 2.0, 7.0], [500, 497, 3]), "one": np.array([3.5]),
+        "two": np.array([1.0, 4.0]), "equal": np.full(900, 2.5), "skewed": 1 + 10.0 ** -random.uniform(0, 15, 2_000),
+        "zero": np.concatenate([np.zeros(300), 2.0 ** -random.uniform(0, 100, 300), [1e6]]),
+    }
+    rows = [(name, float(v)) for name, values in groups.items() for v in values]
+    random.shuffle(rows)
+    values = spark.createDataFrame([(name, float(v)) for name, v in rows], "group string, value double")
+    for share in (0.0, 0.5, langid.WITHIN, 1.0):
+        found = langid.quantiles(values, share)
+        assert found == {name: np.quantile(values, share) for name, values in groups.items()}
+    assert langid.quantiles(values.limit(0), 0.5) == {}
+
+
 def test_search_against_all_products():
     random = np.random.default_rng(5)
     rows = np.floor(random.normal(size=(900, 8)) * 100)
