@@ -58,3 +58,26 @@ def test_usual_spellings_are_read_as_any_other(spark, naive_tz):
                      dates._any_spelling(F.col("t"), instant).cast("string").alias("b"))
     assert [r for r in both.collect() if r.a != r.b] == []
     assert both.filter("a IS NOT NULL").count() >= 7
+
+
+def test_ids_read_stored_entries(spark, given):
+    """The ids of a journal read its entries several times: not the cleaning of all raw tables."""
+    log = queries.QUERIES["journal_ids"](spark, "")
+    assert ".csv" not in plan_of(log)
+    assert rows(log.selectExpr("sum(entry_count) = sum(id_count)")) == [(True,)]
+
+
+def test_stored_journals_leave_no_entries_behind(spark, given):
+    folder = Path(shared_folder(spark)) / "dealtide-tables"
+    before = {p.name for p in folder.glob("work-*")}
+    defects = queries.QUERIES["sql_defects"](spark, "")
+    assert ".csv" not in plan_of(defects)
+    expected = sum(r.cnt for r in Cleaned(given).entries(*queries.JOURNALLED).groupBy("severity").agg(F.count("*").alias("cnt")).collect())
+    assert sum(r.cnt for r in defects.collect()) >= expected
+    assert {p.name for p in folder.glob("work-*")} == before
+
+
+def test_views_of_defects_read_a_stored_journal(spark, given):
+    totals = {r.view_name: r.row_count for r in queries.QUERIES["report_views"](spark, "").collect()}
+    assert totals["v_data_quality_detail"] == Cleaned(given).entries(*queries.JOURNALLED).count()
+    assert ".csv" not in plan_of(spark.table("v_data_quality_detail"))
