@@ -81,3 +81,14 @@ def test_views_of_defects_read_a_stored_journal(spark, given):
     totals = {r.view_name: r.row_count for r in queries.QUERIES["report_views"](spark, "").collect()}
     assert totals["v_data_quality_detail"] == Cleaned(given).entries(*queries.JOURNALLED).count()
     assert ".csv" not in plan_of(spark.table("v_data_quality_detail"))
+
+
+def test_exports_are_compressed(spark, given):
+    folder = Path(shared_folder(spark)) / "exports"
+    before = set(folder.glob("*"))
+    read = queries.QUERIES["scan_exports"](spark, "")
+    [made] = set(folder.glob("*")) - before
+    parts = list(made.glob("*.csv/part-*"))
+    assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+    assert {r.table_name: r.n for r in read.groupBy("table_name").agg(F.count("*").alias("n")).collect()} == {
+        t: n for t in RAW_COLUMNS if (n := given[t].count())}
