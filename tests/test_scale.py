@@ -83,6 +83,17 @@ def test_views_of_defects_read_a_stored_journal(spark, given):
     assert ".csv" not in plan_of(spark.table("v_data_quality_detail"))
 
 
+def test_checked_tables_are_computed_once(spark, tables, monkeypatch):
+    read = []
+    checks = queries.expectations.quarantine
+    monkeypatch.setattr(queries, "broken_feed", lambda *_: Given(tables))
+    monkeypatch.setattr(queries.expectations, "quarantine", lambda df, *a: read.append(plan_of(df)) or checks(df, *a))
+    found = queries.QUERIES["expect_quarantine"](spark, "")
+    assert len(read) == len(tables) and all("dealtide-tables" in plan for plan in read)
+    stay = {r.table_name: r.row_count for r in found.filter("rule_id = 'stays'").collect()}
+    assert stay == {name: n for name in tables if (n := tables[name].count())}
+
+
 def test_exports_are_compressed(spark, given):
     folder = Path(shared_folder(spark)) / "exports"
     before = set(folder.glob("*"))
