@@ -103,3 +103,9 @@ def test_exports_are_compressed(spark, given):
     assert parts and all(p.name.endswith(".csv.gz") for p in parts)
     assert {r.table_name: r.n for r in read.groupBy("table_name").agg(F.count("*").alias("n")).collect()} == {
         t: n for t in RAW_COLUMNS if (n := given[t].count())}
+
+
+def test_stored_tables_are_compressed_well(spark, raw, tmp_path):
+    run = Path(refresh(spark, raw, str(tmp_path), run_id="one", constraints="quarantine"))
+    parts = [*run.glob("raw/*/part-*.parquet"), *run.glob("main/*/**/part-*.parquet")]
+    assert parts and all(p.name.endswith(".zstd.parquet") for p in parts)
